@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from .common import table
+from .mixing import OP10_SQL, op10_query
 from .quality import OP8_SQL, op8_query
 
 QUERIES = {
     "op8_quality_rules": lambda spark, sf: op8_query(spark, table(spark, sf, "documents")),
+    "op10_mixing": lambda spark, sf: op10_query(spark, table(spark, sf, "documents")),
 }
 
 ORACLE = {
     "op8_quality_rules": OP8_SQL,
+    "op10_mixing": OP10_SQL,
 }
