@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: One or more of the six characters that separate words.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -17,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def extended(schema: T.StructType, more: str) -> T.StructType:
+    """A copy of a schema with the columns of a DDL string after its own."""
+    return T.StructType([*schema.fields, *T.StructType.fromDDL(more).fields])
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value computed once a row, even where body uses it inside a lambda."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -5,9 +5,13 @@ from __future__ import annotations
 from .common import table
 from .mixing import OP10_SQL, op10_query
 from .quality import OP8_SQL, op8_query
+from .secrets import op7_query
+from .simhash import op9_query
 
 QUERIES = {
+    "op7_secret_scan": lambda spark, sf: op7_query(table(spark, sf, "documents")),
     "op8_quality_rules": lambda spark, sf: op8_query(spark, table(spark, sf, "documents")),
+    "op9_simhash": lambda spark, sf: op9_query(table(spark, sf, "documents")),
     "op10_mixing": lambda spark, sf: op10_query(spark, table(spark, sf, "documents")),
 }
 
