@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .chat import OP5_SQL, op5_query
 from .common import table
 from .decontaminate import OP4_SQL, op4_query
 from .mixing import OP10_SQL, op10_query
@@ -11,6 +12,7 @@ from .simhash import op9_query
 
 QUERIES = {
     "op4_decontamination": lambda spark, sf: op4_query(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
+    "op5_chat_rotation": lambda spark, sf: op5_query(table(spark, sf, "conversations")),
     "op7_secret_scan": lambda spark, sf: op7_query(table(spark, sf, "documents")),
     "op8_quality_rules": lambda spark, sf: op8_query(spark, table(spark, sf, "documents")),
     "op9_simhash": lambda spark, sf: op9_query(table(spark, sf, "documents")),
@@ -19,6 +21,7 @@ QUERIES = {
 
 ORACLE = {
     "op4_decontamination": OP4_SQL,
+    "op5_chat_rotation": OP5_SQL,
     "op8_quality_rules": OP8_SQL,
     "op10_mixing": OP10_SQL,
 }
