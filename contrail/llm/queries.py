@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chat import OP5_SQL, op5_query
 from .common import table
 from .decontaminate import OP4_SQL, op4_query
+from .langid import op3_query
 from .mixing import OP10_SQL, op10_query
 from .pii import op1_query
 from .quality import OP8_SQL, op8_query
@@ -13,6 +14,7 @@ from .simhash import op9_query
 
 QUERIES = {
     "op1_pii": lambda spark, sf: op1_query(table(spark, sf, "documents")),
+    "op3_language_id": lambda spark, sf: op3_query(table(spark, sf, "documents")),
     "op4_decontamination": lambda spark, sf: op4_query(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
     "op5_chat_rotation": lambda spark, sf: op5_query(table(spark, sf, "conversations")),
     "op7_secret_scan": lambda spark, sf: op7_query(table(spark, sf, "documents")),
