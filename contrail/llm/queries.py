@@ -11,9 +11,11 @@ from .pii import op1_query
 from .quality import OP8_SQL, op8_query
 from .secrets import op7_query
 from .simhash import op9_query
+from .substring import OP2_SQL, op2_query
 
 QUERIES = {
     "op1_pii": lambda spark, sf: op1_query(table(spark, sf, "documents")),
+    "op2_substring_dedup": lambda spark, sf: op2_query(table(spark, sf, "documents")),
     "op3_language_id": lambda spark, sf: op3_query(table(spark, sf, "documents")),
     "op4_decontamination": lambda spark, sf: op4_query(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
     "op5_chat_rotation": lambda spark, sf: op5_query(table(spark, sf, "conversations")),
@@ -24,6 +26,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_substring_dedup": OP2_SQL,
     "op4_decontamination": OP4_SQL,
     "op5_chat_rotation": OP5_SQL,
     "op8_quality_rules": OP8_SQL,

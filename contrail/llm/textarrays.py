@@ -125,3 +125,29 @@ def minimizers(grams: np.ndarray, valid: np.ndarray, windows: np.ndarray, width:
         least = np.minimum(least, shifted)
         done += step
     return (least[windows] & _PLACE).astype(np.int64)
+
+
+def anchors(at: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, first window, last window) for each gram that is the least of some windows.
+
+    The least gram of a window only moves right as the window does, so a gram's windows are one run.
+    """
+    if not len(at):
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    cut = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    return at[cut], windows[cut], windows[np.concatenate((cut[1:] - 1, [len(at) - 1]))]
+
+
+def spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All whole numbers of the ranges first..last, one range after another."""
+    n = last - first + 1
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+
+
+def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
+    """Which of n places lie in start..start+width-1 for some start."""
+    steps = np.zeros(n + 1, np.int64)
+    np.add.at(steps, starts, 1)
+    np.subtract.at(steps, np.minimum(starts + width, n), 1)
+    return np.cumsum(steps[:n]) > 0
