@@ -7,14 +7,15 @@ punctuation) discloses of an entity:
     disclosure(t, c) = PMI(t; c) / IC(c) = log2(N * n(t, c) / (n(t) * n(c))) / log2(N / n(c))
 
 n(c) counts the distinct contexts (CONTEXT words to either side) in which entity c stands,
-n(t, c) those that have t, n(t) the distinct texts that have t, N the distinct texts. It is 1
-if t occurs with c only, and near 0 if t is as common elsewhere. A term with MIN_SUPPORT
+n(t, c) those that have t, N the distinct texts, and n(t) the distinct texts that have t, or the
+contexts of all entities that have it if these are more. Disclosure is 1 if t occurs with c only, and near 0 if t is as common elsewhere. A term with MIN_SUPPORT
 contexts or more of an entity and a disclosure of GENERALISE or more is a span of kind
 ``term`` wherever it stands; sanitise() replaces it by its class, or removes it from REMOVE
 on. Distinct contexts keep copies of one text from counting as evidence.
 
-A mention gives at most 2 * CONTEXT rows, so work is linear in the text. Only terms with
-enough contexts are counted over the corpus.
+A mention gives at most 2 * CONTEXT rows, so work is linear in the text. Terms are counted over
+the corpus only if they could still disclose enough were they in no text beyond their contexts;
+a word that stands near many entities could not.
 
 Defined results. A null text is empty and has no spans. Texts that repeat are counted once;
 each of their rows gets the same spans. A null doc_id is kept. An empty table gives an empty
@@ -46,7 +47,8 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 _CUT = 160  #: characters of a side that are looked at for its words
 _SPAN = "array<struct<start:bigint,end:bigint,value:string,left:array<string>,right:array<string>>>"
-_OUTER = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
+#: Characters that aren't part of a term at its ends.
+OUTER = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”‘’„…–—¡¿"
 
 
 def _luhn(digits: Column) -> Column:
@@ -105,9 +107,14 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(F.contains(text, F.lit(NEEDS[kind])), spans).otherwise(none) if NEEDS[kind] else spans
 
 
+def bare(word: Column) -> Column:
+    """A word in lower case without outer punctuation."""
+    return F.btrim(F.lower(word), F.lit(OUTER))
+
+
 def term(word: Column) -> Column:
     """A word as a term; empty if it is none: under three characters, or without a letter."""
-    t = F.regexp_replace(F.lower(word), _OUTER, "")
+    t = bare(word)
     return F.when((F.length(t) >= 3) & t.rlike(r"\p{L}") & ~F.contains(t, F.lit("@")), t).otherwise("")
 
 
@@ -140,31 +147,38 @@ def _contexts(found: DataFrame) -> DataFrame:
 def disclosing_terms(docs: DataFrame, found: DataFrame, stages: Stages) -> DataFrame:
     """(term, disclosure): each term's largest disclosure, for those of GENERALISE or more."""
     contexts = stages.keep(_contexts(found), "contexts")
-    pairs = contexts.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_tc"))
-    pairs = stages.keep(pairs.where(F.col("n_tc") >= MIN_SUPPORT), "pairs")
+    n = float(found.select("key").distinct().count())
+    n_c = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
+    each = contexts.select("entity", F.explode("terms").alias("term"))
+    near = each.groupBy("term").agg(F.count(F.lit(1)).alias("near"))
+    pairs = each.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_tc")).where(F.col("n_tc") >= MIN_SUPPORT)
+
+    def disclosure(n_t: Column) -> Column:
+        return F.log2(F.lit(n) * F.col("n_tc") / (n_t * F.col("n_c"))) / F.log2(F.lit(n) / F.col("n_c"))
+
+    pairs = stages.keep(pairs.join(near, "term").join(n_c, "entity").where(disclosure(F.col("near")) >= GENERALISE), "pairs")
     wanted = stages.keep(pairs.select("term").distinct(), "wanted")
-    text = F.coalesce(F.col("text"), F.lit(""))
     # a written side of known size: broadcast if small, else sorted and merged
-    own = docs.select(_key(text).alias("key"), F.explode(F.array_distinct(F.transform(F.array_distinct(words(text)), term))).alias("term"))
-    n_t = own.join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n_c = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
-    n = found.select("key").distinct().count()
-    told = pairs.join(n_t, "term").join(n_c, "entity").withColumn(
-        "disclosure",
-        F.log2(F.lit(float(n)) * F.col("n_tc") / (F.col("n_t") * F.col("n_c"))) / F.log2(F.lit(float(n)) / F.col("n_c")),
-    )
+    n_t = _terms_of(docs).join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    told = pairs.join(n_t, "term").withColumn("disclosure", disclosure(F.greatest("n_t", "near")))
     return stages.keep(told.groupBy("term").agg(F.max("disclosure").alias("disclosure")).where(F.col("disclosure") >= GENERALISE), "terms")
 
 
+def _terms_of(docs: DataFrame) -> DataFrame:
+    """(key, term): the distinct bare words of each text."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select(_key(text).alias("key"), F.explode(F.array_distinct(F.transform(words(text), bare))).alias("term"))
+
+
 def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(key, terms): the places of disclosing terms, for the texts that have some."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    hits = docs.select(_key(text).alias("key"), F.explode(F.array_distinct(F.transform(F.array_distinct(words(text)), term))).alias("term"))
+    hits = _terms_of(docs)
     hits = hits.join(terms, "term").groupBy("key").agg(F.map_from_entries(F.collect_set(F.struct("term", "disclosure"))).alias("known"))
     some = docs.select(_key(text).alias("t_key"), text.alias("t")).join(hits, F.col("t_key") == F.col("key")).dropDuplicates(["key"])
     rows = F.filter(
         F.transform(_spans(F.col("t"), r"[^\x20\x09-\x0D]++", False), lambda s: F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), F.col("known")[term(s["value"])].alias("disclosure"), s["value"].alias("value")
+            s["start"].alias("start"), s["end"].alias("end"), F.col("known")[bare(s["value"])].alias("disclosure"), s["value"].alias("value")
         )),
         lambda s: s["disclosure"].isNotNull(),
     )

@@ -29,7 +29,7 @@ def base(text):
 
 
 def term(w):
-    t = re.sub(r"^[^\w]+|[^\w]+$", "", w.lower().replace("_", "-"))
+    t = w.lower().strip(pii.OUTER)
     return t if len(t) >= 3 and re.search(r"[^\W\d]", t) and "@" not in t else ""
 
 
@@ -51,7 +51,11 @@ def brute(docs):
                     a, b = split(left[-160:])[len(left) > 160 :][-8:], split(right[:160])
                     b = (b[:-1] if len(right) > 160 else b)[:8]
                     contexts[kind, m[0].lower()].add(tuple(a + b))
-    told = {}
+    told, near = {}, defaultdict(int)
+    for found in contexts.values():
+        for ws in found:
+            for w in {term(w) for w in ws}:
+                near[w] += 1
     for c, found in contexts.items():
         n_tc = defaultdict(int)
         for ws in found:
@@ -59,7 +63,7 @@ def brute(docs):
                 n_tc[w] += 1
         for w, n in n_tc.items():
             if n >= 3:
-                d = math.log2(len(texts) * n / (n_t[w] * len(found))) / math.log2(len(texts) / len(found))
+                d = math.log2(len(texts) * n / (max(n_t[w], near[w]) * len(found))) / math.log2(len(texts) / len(found))
                 if d >= 0.9:
                     told[w] = max(told.get(w, 0), d)
     out = []
@@ -84,7 +88,8 @@ def test_against_brute_force(spark):
     for i in range(200):
         ws = r.choices(vocab, k=r.choice([5, 30, 80]))
         if i % 6 == 0:
-            at = r.randrange(len(ws))
+            ws = r.choices(vocab, k=60)
+            at = r.randrange(20, 50)
             ws[at:at] = ["zarkona", "zar.kona@mail.example"]
         if i == 1:
             ws.insert(1, '"Zarkona",')
