@@ -55,7 +55,7 @@ def _occurrences(batches):
             windows = ws.run_starts(WINDOW)
             at, first, last = anchors(minimizers(grams, valid, windows, WINDOW - GRAM + 1), windows)
             row = np.searchsorted(ws.first, at, "right") - 1
-            own = batch.slice(lo, hi - lo).take(pa.array(row))
+            own = batch.select(["doc_id", "th"]).take(pa.array(lo + row))
             base = ws.first[row]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(grams[at].view(np.int64)), own.column(0), own.column(1), pa.array((first - base).astype(np.int32)), pa.array((last - base).astype(np.int32))],
@@ -77,7 +77,7 @@ def _windows(batches):
             at, owner = spread(firsts[a:b], lasts[a:b]), np.repeat(row, n)
             starts = at + ws.first[owner]
             w1, w2 = (runs(ws.hashes(seed), starts, WINDOW) for seed in (2, 3))
-            own = batch.slice(lo, hi - lo).take(pa.array(owner))
+            own = batch.select(["doc_id", "th"]).take(pa.array(lo + owner))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), own.column(0), own.column(1), pa.array(at.astype(np.int32))],
                 names=["w1", "w2", "doc_id", "th", "at"],
@@ -92,7 +92,7 @@ def _kept(batches):
             ws = (t or "").encode().split()
             words.append(len(ws))
             if starts:
-                gone = covered(np.array(starts), WINDOW, len(ws))
+                gone = covered(np.array(starts), np.array(starts) + WINDOW, len(ws))
                 ws = [w for w, x in zip(ws, gone.tolist()) if not x]
             removed.append(words[-1] - len(ws))
             texts.append(b" ".join(ws).decode())

@@ -145,9 +145,9 @@ def spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
 
 
-def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
-    """Which of n places lie in start..start+width-1 for some start."""
+def covered(firsts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Which of n places lie in first..end-1 of some range."""
     steps = np.zeros(n + 1, np.int64)
-    np.add.at(steps, starts, 1)
-    np.subtract.at(steps, np.minimum(starts + width, n), 1)
+    np.add.at(steps, firsts, 1)
+    np.subtract.at(steps, np.minimum(ends, n), 1)
     return np.cumsum(steps[:n]) > 0
