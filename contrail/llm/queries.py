@@ -12,6 +12,7 @@ from .quality import OP8_SQL, op8_query
 from .secrets import op7_query
 from .simhash import op9_query
 from .substring import OP2_SQL, op2_query
+from .suffix import op6_query
 
 QUERIES = {
     "op1_pii": lambda spark, sf: op1_query(table(spark, sf, "documents")),
@@ -19,6 +20,7 @@ QUERIES = {
     "op3_language_id": lambda spark, sf: op3_query(table(spark, sf, "documents")),
     "op4_decontamination": lambda spark, sf: op4_query(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
     "op5_chat_rotation": lambda spark, sf: op5_query(table(spark, sf, "conversations")),
+    "op6_suffix_dedup": lambda spark, sf: op6_query(table(spark, sf, "documents")),
     "op7_secret_scan": lambda spark, sf: op7_query(table(spark, sf, "documents")),
     "op8_quality_rules": lambda spark, sf: op8_query(spark, table(spark, sf, "documents")),
     "op9_simhash": lambda spark, sf: op9_query(table(spark, sf, "documents")),
