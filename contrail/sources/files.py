@@ -24,7 +24,7 @@ def read_flight_files(spark: SparkSession, root: str) -> DataFrame:
 
 def read_responses(spark: SparkSession, root: str) -> DataFrame:
     """The same files as a bronze table: one row a file, with its whole text."""
-    raw = spark.read.option("wholetext", True).text(f"{root}/*/*.json").select(F.col("_metadata.file_path").alias("p"), F.col("value").alias("response"))
+    raw = spark.read.text(f"{root}/*/*.json", wholetext=True).select(F.col("_metadata.file_path").alias("p"), F.col("value").alias("response"))
     part = lambda i: F.regexp_extract("p", _NAME, i)
     day = part(1)
     params = F.to_json(F.struct(part(2).alias("airport"), F.concat(day, F.lit(" 00:00:00")).alias("begin"), F.concat(day, F.lit(" 23:59:59")).alias("end")))
