@@ -10,8 +10,11 @@ least and the greatest doc_id that have it. A batch is reduced to a run of its o
 with the runs of history, and becomes a run itself; once there are MAX_RUNS they are compacted
 into one. What a batch shares with history or within itself are the candidate grams.
 
-Verification. The windows that stand behind candidate grams, and no others, are compared in full
-by two independent 64-bit hashes; the least doc_id that has a window owns it.
+Verification. What a candidate gram stands for in a document is its context, the words from the
+first to the last of its windows. Contexts are compared in full by two independent 64-bit hashes:
+where a smaller doc_id has the same context, all its windows go. Of each context only its first
+holder is left to settle, and only if the gram stands in other contexts too: its windows are
+compared in full by two independent 64-bit hashes; the least doc_id that has one owns it.
 
 Joins on grams and windows have sums by key on one side; the other side's hot keys are left to
 adaptive splitting. Texts are shuffled twice, by document.
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stages
-from .textarrays import Words, anchors, covered, minimizers, parts, runs, spread
+from .textarrays import Sums, Words, anchors, covered, minimizers, mixed, parts, runs, spread
 
 WINDOW = 13
 GRAM = 5
@@ -44,7 +47,7 @@ def _with_key(docs: DataFrame) -> DataFrame:
 
 
 def _occurrences(batches):
-    """(doc_id, th, text) -> (gram, doc_id, th, first, last): the windows that a gram stands for."""
+    """(doc_id, th, text) -> (gram, context, doc_id, th, first, last): the windows that a gram stands for."""
     for batch in batches:
         for lo, hi, data, offsets in parts(batch.column(2)):
             ws = Words(data, offsets)
@@ -57,42 +60,48 @@ def _occurrences(batches):
             row = np.searchsorted(ws.first, at, "right") - 1
             own = batch.select(["doc_id", "th"]).take(pa.array(lo + row))
             base = ws.first[row]
+            shape = ((at - first) * 100 + (last - first)).astype(np.uint64)
+            context = mixed(Sums(ws.hashes(4)).of(first, last + WINDOW) + shape * np.uint64(0x9E3779B97F4A7C15))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[at].view(np.int64)), own.column(0), own.column(1), pa.array((first - base).astype(np.int32)), pa.array((last - base).astype(np.int32))],
-                names=["gram", "doc_id", "th", "first", "last"],
+                [pa.array(grams[at].view(np.int64)), pa.array(context.view(np.int64)), own.column(0), own.column(1), pa.array((first - base).astype(np.int32)), pa.array((last - base).astype(np.int32))],
+                names=["gram", "context", "doc_id", "th", "first", "last"],
             )
 
 
 def _windows(batches):
-    """(doc_id, th, text, ranges) -> (w1, w2, doc_id, th, at): full fingerprints of windows."""
+    """(doc_id, text, contexts) -> (w1, w2, doc_id, gram, context, at): full fingerprints of the windows of contexts, at from their start."""
     for batch in batches:
-        ranges = batch.column(3)
-        bounds, flat = ranges.offsets.to_numpy(), ranges.values
-        firsts, lasts = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
-        for lo, hi, data, offsets in parts(batch.column(2)):
+        found = batch.column(2)
+        bounds, flat = found.offsets.to_numpy(), found.values
+        firsts, lasts, grams, contexts = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4))
+        for lo, hi, data, offsets in parts(batch.column(1)):
             ws = Words(data, offsets)
             a, b = bounds[lo], bounds[hi]
             row = np.repeat(np.arange(hi - lo), np.diff(bounds[lo : hi + 1]))
             n = lasts[a:b] - firsts[a:b] + 1
-            at, owner = spread(firsts[a:b], lasts[a:b]), np.repeat(row, n)
-            starts = at + ws.first[owner]
+            starts = spread(firsts[a:b], lasts[a:b]) + np.repeat(ws.first[row], n)
             w1, w2 = (runs(ws.hashes(seed), starts, WINDOW) for seed in (2, 3))
-            own = batch.select(["doc_id", "th"]).take(pa.array(lo + owner))
+            ids = batch.column(0).take(pa.array(lo + np.repeat(row, n)))
+            at = spread(np.zeros(len(n), np.int64), n - 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), own.column(0), own.column(1), pa.array(at.astype(np.int32))],
-                names=["w1", "w2", "doc_id", "th", "at"],
+                [pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), ids, pa.array(np.repeat(grams[a:b], n)), pa.array(np.repeat(contexts[a:b], n)), pa.array(at.astype(np.int32))],
+                names=["w1", "w2", "doc_id", "gram", "context", "at"],
             )
 
 
 def _kept(batches):
-    """(doc_id, text, starts) -> (doc_id, n_words, n_removed, text): what is left of each text."""
+    """(doc_id, text, ranges) -> (doc_id, n_words, n_removed, text): what is left of each text."""
     for batch in batches:
         words, removed, texts = [], [], []
-        for t, starts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        ranges = batch.column(2)
+        bounds, flat, some = ranges.offsets.to_numpy(), ranges.values, ranges.is_valid().to_pylist()
+        firsts, lasts = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        for r, t in enumerate(batch.column(1).to_pylist()):
             ws = (t or "").encode().split()
             words.append(len(ws))
-            if starts:
-                gone = covered(np.array(starts), np.array(starts) + WINDOW, len(ws))
+            if some[r]:
+                a, b = bounds[r], bounds[r + 1]
+                gone = covered(firsts[a:b], lasts[a:b] + WINDOW, len(ws))
                 ws = [w for w, x in zip(ws, gone.tolist()) if not x]
             removed.append(words[-1] - len(ws))
             texts.append(b" ".join(ws).decode())
@@ -157,24 +166,36 @@ def dedup(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """(doc_id, n_words, n_removed, text): text has the words that are left, joined by one space."""
     stages, docs = Stages(docs.sparkSession), _with_key(docs)
     some = docs.where("doc_id is not null")
-    occ = stages.keep(some.mapInArrow(_occurrences, "gram long, doc_id long, th long, first int, last int"), "occ")
+    occ = stages.keep(some.mapInArrow(_occurrences, "gram long, context long, doc_id long, th long, first int, last int"), "occ")
     grams = _candidates(occ, stages, batches)
-    hits = occ.join(grams.hint("merge"), "gram", "left_semi").groupBy("doc_id", "th").agg(
-        F.collect_set(F.struct("first", "last")).alias("ranges")  # of one document
-    )
-    hits = stages.keep(hits.withColumnsRenamed({"doc_id": "h_id", "th": "h_th"}), "hits")
+    hits = stages.keep(occ.join(grams.hint("merge"), "gram", "left_semi"), "hits")
     stages.drop("occ", "grams")
-    once = some.join(hits.hint("merge"), (F.col("doc_id") == F.col("h_id")) & (F.col("th") == F.col("h_th"))).select("doc_id", "th", "text", "ranges")
-    windows = stages.keep(once.mapInArrow(_windows, "w1 long, w2 long, doc_id long, th long, at int"), "windows")
-    stages.drop("hits")
+    one = F.min(F.struct("doc_id", "th", "first", "last")).alias("one")
+    classes = stages.keep(hits.groupBy("gram", "context").agg(one), "classes")
+    crowds = classes.groupBy(F.col("gram").alias("c_gram")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    asked = classes.join(crowds.hint("merge"), F.col("gram") == F.col("c_gram")).select("one.*", "gram", "context")
+    asked = asked.groupBy(F.col("doc_id").alias("a_id"), F.col("th").alias("a_th")).agg(F.collect_list(F.struct("first", "last", "gram", "context")).alias("contexts"))
+    once = some.join(asked.hint("merge"), (F.col("doc_id") == F.col("a_id")) & (F.col("th") == F.col("a_th"))).select("doc_id", "text", "contexts")
+    windows = stages.keep(once.mapInArrow(_windows, "w1 long, w2 long, doc_id long, gram long, context long, at int"), "windows")
     owners = windows.groupBy(F.col("w1").alias("o1"), F.col("w2").alias("o2")).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    gone = windows.join(
+    owned = windows.join(
         owners.where("lo < hi").hint("merge"), (F.col("w1") == F.col("o1")) & (F.col("w2") == F.col("o2")) & (F.col("lo") < F.col("doc_id"))
-    ).groupBy(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th")).agg(F.collect_set("at").alias("starts"))
+    ).select(F.col("gram").alias("w_gram"), F.col("context").alias("w_context"), F.col("doc_id").alias("w_id"), "at").distinct()
+    first = classes.select(F.col("gram").alias("f_gram"), F.col("context").alias("f_context"), F.col("one.doc_id").alias("lo"))
+    again = hits.join(
+        first.hint("merge"), (F.col("gram") == F.col("f_gram")) & (F.col("context") == F.col("f_context")) & (F.col("lo") < F.col("doc_id"))
+    ).select("doc_id", "th", "first", "last")
+    # the windows that the first holder loses, wherever it has that context
+    settled = hits.join(
+        owned.hint("merge"), (F.col("gram") == F.col("w_gram")) & (F.col("context") == F.col("w_context")) & (F.col("doc_id") == F.col("w_id"))
+    ).select("doc_id", "th", (F.col("first") + F.col("at")).alias("first"), (F.col("first") + F.col("at")).alias("last"))
+    gone = again.unionByName(settled).groupBy(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th")).agg(
+        F.collect_set(F.struct("first", "last")).alias("ranges")  # of one document
+    )
     gone = stages.keep(gone, "gone")
-    stages.drop("windows")
+    stages.drop("windows", "hits", "classes")
     out = docs.join(gone.hint("merge"), (F.col("doc_id") == F.col("g_id")) & (F.col("th") == F.col("g_th")), "left")
-    return out.select("doc_id", "text", "starts").mapInArrow(_kept, "doc_id long, n_words long, n_removed long, text string")
+    return out.select("doc_id", "text", "ranges").mapInArrow(_kept, "doc_id long, n_words long, n_removed long, text string")
 
 
 def op2_query(docs: DataFrame) -> DataFrame:

@@ -52,6 +52,13 @@ def test_against_brute_force(spark):
         assert sorted(map(tuple, again), key=str) == sorted(((d, n) for d, _, n, _ in brute(docs)), key=str)
 
 
+def test_a_context_that_stands_twice_in_its_first_document(spark):
+    w = [f"w{i}" for i in range(60)]
+    twice = " ".join(["a", *w, "b", "c", "a", *w, "b", "d"])
+    docs = [(1, " ".join(["x", *w[:30], "y"]), 1, "g"), (5, twice, 1, "g"), (5, " ".join(["a", *w, "b"]), 1, "g"), (6, twice, 1, "g")]
+    assert sorted(map(tuple, S.op2_query(spark.createDataFrame(docs, SCHEMA)).collect()), key=str) == brute(docs)
+
+
 def test_index_compacts_and_remembers(spark):
     index = S.FingerprintIndex(Stages(spark), 2)
     batch = lambda rows: spark.createDataFrame(rows, "gram long, doc_id long")
