@@ -5,7 +5,9 @@ assistant and the others as named users; system turns stay system turns and aren
 A mask has the spans of the assistant's contents, the only ones to train on.
 
 A rendering is cut after every SEGMENT turn numbers, so a group has the turns of one segment.
-Turns of one number are ordered by role, then text.
+Turns of one number are ordered by role, then text. Where rows repeat a turn number, those beyond
+each TIES of them go to part 1, 2 and so on of the segment, so no group has more than
+SEGMENT * TIES rows; in proper dialogues all is part 0.
 
 Format of a turn: ``<|im_start|>assistant``, ``<|im_start|>user name=NAME`` or
 ``<|im_start|>system``, a line feed, the text, ``<|im_end|>``, a line feed. ``<|`` inside a text
@@ -20,28 +22,31 @@ rows. An empty table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import let, prefix_sums
 
 SEGMENT = 256
+TIES = 16
 
 
 def _safe(text: Column) -> Column:
     return F.replace(text, F.lit("<|"), F.lit("< |"))
 
 
-def rotate(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    """(conv_id, participant, segment, n_turns, n_own, text, mask): mask has start:end, comma-joined, in code points."""
+def rotate(turns: DataFrame, segment: int = SEGMENT, ties: int = TIES) -> DataFrame:
+    """(conv_id, participant, segment, part, n_turns, n_own, text, mask): mask has start:end, comma-joined, in code points."""
     name = F.regexp_replace(F.coalesce(F.when(F.trim("role") != "", F.col("role")), F.lit("unknown")), r"[\x20\x09-\x0D]+", "_")
     rows = turns.select(
         "conv_id", F.floor(F.coalesce(F.col("turn"), F.lit(0)) / segment).alias("segment"),
         F.struct(F.coalesce(F.col("turn"), F.lit(0)).cast("long").alias("turn"), _safe(name).alias("role"), _safe(F.coalesce("text", F.lit(""))).alias("text")).alias("t"),
     )
+    same = Window.partitionBy("conv_id", "t.turn").orderBy("t.role", "t.text")  # sorted on disk if large, never gathered
+    rows = rows.withColumn("part", F.floor((F.row_number().over(same) - 1) / ties))
     # participants of a whole conversation: a set of names, reduced before the shuffle
     people = rows.where("t.role <> 'system'").select(F.col("conv_id").alias("p_conv"), F.col("t.role").alias("participant")).distinct()
-    parts = rows.groupBy("conv_id", "segment").agg(F.array_sort(F.collect_list("t")).alias("turns"))
+    parts = rows.groupBy("conv_id", "segment", "part").agg(F.array_sort(F.collect_list("t")).alias("turns"))
     each = parts.join(people, F.col("conv_id").eqNullSafe(F.col("p_conv")))
 
     def head(t: Column) -> Column:
@@ -60,8 +65,8 @@ def rotate(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
             F.array_join(F.transform(ps, lambda p: p["all"]), "").alias("text"), F.array_join(spans, ",").alias("mask"),
         )
 
-    return each.select("conv_id", "participant", F.col("segment").cast("long").alias("segment"), let(pieces, done).alias("r")).select(
-        "conv_id", "participant", "segment", "r.n_turns", "r.n_own", "r.text", "r.mask"
+    return each.select("conv_id", "participant", F.col("segment").cast("long").alias("segment"), F.col("part").cast("long").alias("part"), let(pieces, done).alias("r")).select(
+        "conv_id", "participant", "segment", "part", "r.n_turns", "r.n_own", "r.text", "r.mask"
     )
 
 
@@ -70,18 +75,19 @@ def op5_query(turns: DataFrame) -> DataFrame:
 
 
 OP5_SQL = r"""
-WITH t AS (SELECT conv_id, coalesce(turn, 0) AS turn, floor(coalesce(turn, 0) / 256)::BIGINT AS segment,
+WITH t0 AS (SELECT conv_id, coalesce(turn, 0) AS turn, floor(coalesce(turn, 0) / 256)::BIGINT AS segment,
                   replace(regexp_replace(CASE WHEN trim(coalesce(role, '')) = '' THEN 'unknown' ELSE role END, '[\x20\x09-\x0D]+', '_', 'g'), '<|', '< |') AS role,
                   replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
+t AS (SELECT *, ((row_number() OVER (PARTITION BY conv_id, turn ORDER BY role, text) - 1) // 16)::BIGINT AS part FROM t0),
 p AS (SELECT DISTINCT conv_id, role AS participant FROM t WHERE role <> 'system'),
 x AS (SELECT t.*, participant, CASE WHEN role = participant THEN '<|im_start|>assistant' || chr(10)
              WHEN role = 'system' THEN '<|im_start|>system' || chr(10) ELSE '<|im_start|>user name=' || role || chr(10) END AS head
       FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
 y AS (SELECT *, head || text || '<|im_end|>' || chr(10) AS piece FROM x),
 z AS (SELECT *, (sum(length(piece)) OVER w - length(piece))::BIGINT AS off, row_number() OVER w AS k FROM y
-      WINDOW w AS (PARTITION BY conv_id, participant, segment ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING))
-SELECT conv_id, participant, segment, count(*) AS n_turns, count(*) FILTER (WHERE role = participant) AS n_own,
+      WINDOW w AS (PARTITION BY conv_id, participant, segment, part ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, participant, segment, part, count(*) AS n_turns, count(*) FILTER (WHERE role = participant) AS n_own,
        string_agg(piece, '' ORDER BY k) AS text,
        coalesce(string_agg((off + length(head)) || ':' || (off + length(head) + length(text)), ',' ORDER BY k) FILTER (WHERE role = participant), '') AS mask
-FROM z GROUP BY conv_id, participant, segment
+FROM z GROUP BY conv_id, participant, segment, part
 """
