@@ -104,14 +104,15 @@ def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, share: float =
     c = chunks.select(F.col("source").alias("c_source"), F.col("chunk").alias("c_chunk"), "chunk_start", "rank", "source_size", "target")
     inside = Window.partitionBy("source", "chunk").orderBy(F.col("doc_id").asc_nulls_first(), "size").rowsBetween(Window.unboundedPreceding, 0)
     documents = sizes.withColumn("ends", F.sum("size").over(inside)).join(
-        c, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("chunk") == F.col("c_chunk"))
+        c.hint("merge"), F.col("source").eqNullSafe(F.col("c_source")) & (F.col("chunk") == F.col("c_chunk"))
     ).withColumn("start", F.col("chunk_start") + F.col("ends") - F.col("size")).select(
         "doc_id", "source", "size", "rank", "start", "source_size", "target"
     )
 
     # A source's slots are made from ranges of _PART, so a large source is many rows before it is many more.
     parts = sources.where("n_slots > 0").withColumn("lo", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_slots") - 1, F.lit(_PART).cast("long"))))
-    parts = parts.repartition("rank", "lo").withColumn("slot", F.explode(F.sequence(F.col("lo"), F.least(F.col("lo") + _PART, F.col("n_slots")) - 1)))
+    n_tasks = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # a number, or the few small rows meet in one task
+    parts = parts.repartition(n_tasks, "rank", "lo").withColumn("slot", F.explode(F.sequence(F.col("lo"), F.least(F.col("lo") + _PART, F.col("n_slots")) - 1)))
     pass_no = F.floor(F.col("slot") / F.col("n_blocks"))
     where = permuted(F.col("first_slot") + F.col("slot"), F.col("all_slots"), F.lit("shards"))
     filled = parts.select(
@@ -127,7 +128,7 @@ def mix(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, share: float =
         "inside", F.least((F.col("block") + 1) * block, F.col("start") + F.col("size")) - F.greatest(F.col("block") * block, F.col("start"))
     )
     keys = ["doc_id", "source", "size", "rank", "start", "source_size", "target"]
-    used = pieces.join(times, (F.col("rank") == F.col("t_rank")) & (F.col("block") == F.col("t_block")), "left")
+    used = pieces.join(times.hint("merge"), (F.col("rank") == F.col("t_rank")) & (F.col("block") == F.col("t_block")), "left")
     taken = used.groupBy(*keys).agg(F.sum(F.coalesce("times", F.lit(0)) * F.col("inside")).cast("long").alias("taken"))
     taken = taken.unionByName(documents.where("size = 0").withColumn("taken", F.lit(0).cast("long")))
     return Mixture(documents, sources, filled, taken)
