@@ -7,15 +7,15 @@ punctuation) discloses of an entity:
     disclosure(t, c) = PMI(t; c) / IC(c) = log2(N * n(t, c) / (n(t) * n(c))) / log2(N / n(c))
 
 n(c) counts the distinct contexts (CONTEXT words to either side) in which entity c stands,
-n(t, c) those that have t, N the distinct texts, and n(t) the distinct texts that have t, or the
-contexts of all entities that have it if these are more. Disclosure is 1 if t occurs with c only, and near 0 if t is as common elsewhere. A term with MIN_SUPPORT
+n(t, c) those that have t, n(t) the distinct texts that have t, N the distinct texts. It is 1
+if t occurs with c only, and near 0 if t is as common elsewhere. A term with MIN_SUPPORT
 contexts or more of an entity and a disclosure of GENERALISE or more is a span of kind
 ``term`` wherever it stands; sanitise() replaces it by its class, or removes it from REMOVE
 on. Distinct contexts keep copies of one text from counting as evidence.
 
 A mention gives at most 2 * CONTEXT rows, so work is linear in the text. Terms are counted over
-the corpus only if they could still disclose enough were they in no text beyond their contexts;
-a word that stands near many entities could not.
+the corpus only if they could still disclose enough were they in no text beyond those that have
+them in a context: no more than n(t), so no term is lost.
 
 Defined results. A null text is empty and has no spans. Texts that repeat are counted once;
 each of their rows gets the same spans. A null doc_id is kept. An empty table gives an empty
@@ -24,6 +24,8 @@ result. Other columns are left alone by sanitise() and not read by find().
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,7 @@ MIN_SUPPORT = 3
 GENERALISE = 0.9
 REMOVE = 0.98
 KINDS = ("email", "ip", "card", "phone", "term")
+_SOME = " OR ".join(f"size({k}) > 0" for k in KINDS[:4])
 #: The patterns of the contract. Possessive steps and the anchors at the front (a run's start, or
 #: the end of the last match) keep them linear on long runs and change no match.
 PATTERNS = {
@@ -47,7 +50,8 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 _CUT = 160  #: characters of a side that are looked at for its words
 _SPAN = "array<struct<start:bigint,end:bigint,value:string,left:array<string>,right:array<string>>>"
-#: Characters that aren't part of a term at its ends.
+#: Common characters that aren't part of a term at its ends; nor is any but a letter or number.
+#: In a text of these, letters, numbers and white space only, no other character needs trimming.
 OUTER = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”‘’„…–—¡¿"
 
 
@@ -109,7 +113,16 @@ def base_spans(text: Column, kind: str) -> Column:
 
 def bare(word: Column) -> Column:
     """A word in lower case without outer punctuation."""
-    return F.btrim(F.lower(word), F.lit(OUTER))
+    core = r"(?s)[\p{L}\p{N}](?:.*[\p{L}\p{N}])?"
+    odd = r"^[^\p{L}\p{N}]|[^\p{L}\p{N}]\z"
+    return let(F.btrim(F.lower(word), F.lit(OUTER)), lambda w: F.when(w.rlike(odd), F.regexp_extract(w, core, 0)).otherwise(w))
+
+
+def own_words(text: Column) -> Column:
+    """The distinct bare words of a text; the costly trimming is only for texts that need it."""
+    odd = F.lower(text).rlike(r"[^\p{L}\p{N}\x20\x09-\x0D" + re.escape(OUTER) + "]")
+    quick = lambda w: F.btrim(F.lower(w), F.lit(OUTER))
+    return let(F.array_distinct(words(text)), lambda ws: F.array_distinct(F.when(odd, F.transform(ws, bare)).otherwise(F.transform(ws, quick))))
 
 
 def term(word: Column) -> Column:
@@ -124,9 +137,14 @@ def _key(text: Column) -> Column:
 
 
 def find_base(docs: DataFrame) -> DataFrame:
-    """doc_id, key and an array of spans for each kind."""
+    """doc_id, key, an array of spans for each kind, and the text's own words that are terms of its contexts."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", _key(text).alias("key"), *(base_spans(text, k).alias(k) for k in KINDS[:4]))
+    spans = docs.select("doc_id", "text", _key(text).alias("key"), *(base_spans(text, k).alias(k) for k in KINDS[:4]))
+    around = F.flatten(F.concat(*(F.transform(k, lambda s: F.concat(s["left"], s["right"])) for k in KINDS[:4])))
+    # a word that a match was cut from is in a context, but no word of the text
+    own = F.array_intersect(F.filter(F.transform(around, term), lambda t: t != ""), own_words(text))
+    near = F.when(F.expr(_SOME), own).otherwise(F.array().cast("array<string>"))
+    return spans.select("doc_id", "key", *KINDS[:4], near.alias("near"))
 
 
 def _contexts(found: DataFrame) -> DataFrame:
@@ -138,7 +156,7 @@ def _contexts(found: DataFrame) -> DataFrame:
         ))
 
     every = F.concat(*map(mentions, KINDS[:4]))
-    some = found.where(" OR ".join(f"size({k}) > 0" for k in KINDS[:4])).select(F.explode(every).alias("m")).select("m.*")
+    some = found.where(_SOME).select(F.explode(every).alias("m")).select("m.*")
     return some.select(
         "entity", F.xxhash64("ws").alias("context"), F.filter(F.array_distinct(F.transform("ws", term)), lambda t: t != "").alias("terms")
     ).dropDuplicates(["entity", "context"])
@@ -150,24 +168,26 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, stages: Stages) -> DataF
     n = float(found.select("key").distinct().count())
     n_c = contexts.groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
     each = contexts.select("entity", F.explode("terms").alias("term"))
-    near = each.groupBy("term").agg(F.count(F.lit(1)).alias("near"))
+    near = found.select("key", F.explode("near").alias("term")).distinct().groupBy("term").agg(F.count(F.lit(1)).alias("near"))
     pairs = each.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_tc")).where(F.col("n_tc") >= MIN_SUPPORT)
 
     def disclosure(n_t: Column) -> Column:
         return F.log2(F.lit(n) * F.col("n_tc") / (n_t * F.col("n_c"))) / F.log2(F.lit(n) / F.col("n_c"))
 
-    pairs = stages.keep(pairs.join(near, "term").join(n_c, "entity").where(disclosure(F.col("near")) >= GENERALISE), "pairs")
+    # near <= n(t), and disclosure falls with n(t) where IC is positive; a term that is no word of any such text may be one elsewhere
+    could = F.when((F.col("n_c") < n) & F.col("near").isNotNull(), disclosure(F.col("near")) >= GENERALISE).otherwise(True)
+    pairs = stages.keep(pairs.join(near, "term", "left").join(n_c, "entity").where(could).drop("near"), "pairs")
     wanted = stages.keep(pairs.select("term").distinct(), "wanted")
     # a written side of known size: broadcast if small, else sorted and merged
     n_t = _terms_of(docs).join(wanted, "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    told = pairs.join(n_t, "term").withColumn("disclosure", disclosure(F.greatest("n_t", "near")))
+    told = pairs.join(n_t, "term").withColumn("disclosure", disclosure(F.col("n_t")))
     return stages.keep(told.groupBy("term").agg(F.max("disclosure").alias("disclosure")).where(F.col("disclosure") >= GENERALISE), "terms")
 
 
 def _terms_of(docs: DataFrame) -> DataFrame:
     """(key, term): the distinct bare words of each text."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(_key(text).alias("key"), F.explode(F.array_distinct(F.transform(words(text), bare))).alias("term"))
+    return docs.select(_key(text).alias("key"), F.explode(own_words(text)).alias("term"))
 
 
 def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -192,7 +212,7 @@ def find(docs: DataFrame) -> DataFrame:
     found = stages.keep(find_base(docs), "found")
     terms = disclosing_terms(docs, found, stages)
     at = stages.keep(term_spans(docs, terms), "at")
-    out = found.join(at, "key", "left")
+    out = found.drop("near").join(at, "key", "left")
     clear = lambda t: ~F.exists(_all(("email", "ip", "card", "phone")), lambda s: (s["start"] < t["end"]) & (s["end"] > t["start"]))
     none = F.array().cast("array<struct<start:bigint,end:bigint,disclosure:double,value:string>>")
     return out.withColumn("terms", F.filter(F.coalesce("terms", none), clear))

@@ -4,7 +4,10 @@ import random
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from contrail.llm import pii
+from contrail.llm.common import Stages
 
 SCHEMA = "doc_id long, text string, key string, email string"
 BASE = {
@@ -106,3 +109,57 @@ def test_against_brute_force(spark):
 
 def test_empty(spark):
     assert pii.op1_query(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def whole_terms(docs):
+    """The disclosing terms by n(t), the distinct texts with the term, and trimming of all but letters and numbers."""
+    def own(w):
+        t = re.sub(r"^[\W_]+|[\W_]+$", "", w.lower())
+        return t if len(t) >= 3 and re.search(r"[^\W\d]", t) and "@" not in t else ""
+
+    texts, contexts, n_t, told = set(docs), defaultdict(set), defaultdict(int), set()
+    for t in texts:
+        for w in {own(w) for w in split(t)}:
+            n_t[w] += 1
+        for kind, p in BASE.items():
+            ms = list(re.finditer(p, t))
+            for i, m in enumerate(ms):
+                if holds(kind, m[0]):
+                    left = t[ms[i - 1].end() if i else 0 : m.start()]
+                    right = t[m.end() : ms[i + 1].start() if i + 1 < len(ms) else None]
+                    contexts[kind, m[0]].add((*split(left)[-8:], *split(right)[:8]))
+    for found in contexts.values():
+        for w in {own(w) for ws in found for w in ws} - {""}:
+            n = sum(w in map(own, ws) for ws in found)
+            if n >= 3 and n_t[w] and math.log2(len(texts) * n / (n_t[w] * len(found))) / math.log2(len(texts) / len(found)) >= 0.9:
+                told.add(w)
+    return told
+
+
+def test_terms_of_several_entities_and_odd_punctuation(spark):
+    r = random.Random(8)
+    vocab = [f"{a}{b}" for a in ("ka", "lo", "mi", "su") for b in ("ran", "tel", "vos", "dim", "pex")]
+    docs = []
+    for i in range(150):
+        ws = r.choices(vocab, k=12)
+        if i % 10 == 0:  # one signature with three entities
+            ws[6:6] = ["zarkona", "zar.kona@mail.example", "4111111111111111", "+15551234567"]
+        if i % 10 == 1:
+            ws[6:6] = [r.choice(["\u3010velmira\u3011", "\u2022velmira", "velmira\u00b7"]), "vel@mail.example"]
+        if i % 10 == 2:  # the match is cut from a word
+            ws[6:6] = ["tonrek:ton@mail.example"]
+        if i == 3:
+            ws.insert(2, "tonrek:")
+        docs.append(" ".join(ws))
+    want = whole_terms(docs)
+    assert {"zarkona", "velmira", "tonrek"} <= want
+    df = spark.createDataFrame([(i, t, "k", "e") for i, t in enumerate(docs * 2)], SCHEMA).repartition(3)
+    stages = Stages(spark)
+    terms = pii.disclosing_terms(df, stages.keep(pii.find_base(df), "found"), stages).collect()
+    assert {x["term"] for x in terms} == want
+
+
+def test_trimming_is_by_letters_and_numbers(spark):
+    ws = ["\u00b7a1\u00b7", "...", "\u3010x\u3011", "Y", "(\u2022deux\u2022)", "a" + "\u2022" * 9000 + "b", "\u2022" * 9000, "", "e\u0301\u00b7z\u00b7"]
+    got = [x[0] for x in spark.createDataFrame([(w, i) for i, w in enumerate(ws)], "w string, i int").orderBy("i").select(pii.bare(F.col("w"))).collect()]
+    assert got == [re.sub(r"^[\W_]+|[\W_]+$", "", w.lower()) if len(w) < 100 else "" if w[0] != "a" else w for w in ws]
