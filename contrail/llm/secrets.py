@@ -4,8 +4,9 @@ Base spans come from three patterns. The method adds spans of kind ``random``: s
 MIN_CHARS or more of ``[A-Za-z0-9+/_=-]`` whose characters per token under a byte-pair
 vocabulary are at most MAX_RATIO. Words of a language take few tokens; random strings take
 about one for every two characters. Known digests (32, 40, 56, 64, 96 or 128 hexadecimal
-digits of one case, UUIDs) and identifiers (numbers, paths and names made of short words) are
-excluded, as are strings that overlap a base span.
+digits of one case, UUIDs) and identifiers (numbers; paths and names whose every part is a number,
+of SHORT letters at most, or takes few tokens by itself as words do) are excluded, as are strings
+that overlap a base span. Letters of one case are no identifier by that alone.
 
 Defined results. A null text is empty: no spans. A long string is tokenized in pieces of PIECE
 characters, all of them. Repeated rows count each; an empty table gives an empty result; other
@@ -28,6 +29,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MIN_CHARS = 20
 MAX_RATIO = 2.1
 PIECE = 512
+SHORT = 3
 KINDS = ("assign", "access", "hex", "random")
 _ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -36,8 +38,9 @@ _LONG = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_CHARS},}}")
 _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 _DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 _UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\Z")
-_PLAIN = re.compile(r"[0-9+/_=-]*\Z|[A-Za-z]?[a-z]*\Z|[A-Z]*\Z")
+_PLAIN = re.compile(r"[0-9+/_=-]*\Z")
 _NAME = re.compile(r"(?:[A-Za-z]?[a-z]*|[A-Z]*|[0-9]*)(?:[-_/=+](?:[A-Za-z]?[a-z]*|[A-Z]*|[0-9]*))*\Z")
+_JOINS = re.compile("[-_/=+]")
 SCHEMA = "s_n_assign long, s_n_access long, s_n_hex long, s_base string, s_spans string"
 
 
@@ -52,10 +55,8 @@ def encoding(path: str):
 
 
 def known(s: str) -> bool:
-    """Whether a string is a digest or an identifier, so no secret by its looks alone."""
-    if len(s) in _DIGEST_LENGTHS and _DIGEST.match(s) or _UUID.match(s) or _PLAIN.match(s):
-        return True
-    return bool(_NAME.match(s)) and re.search("[-_/=+]", s) is not None
+    """Whether a string is a digest, a UUID or a number, so no secret by its looks alone."""
+    return bool(len(s) in _DIGEST_LENGTHS and _DIGEST.match(s) or _UUID.match(s) or _PLAIN.match(s))
 
 
 def ratio(s: str, path: str) -> float:
@@ -64,6 +65,13 @@ def ratio(s: str, path: str) -> float:
     return len(s) / max(1, sum(map(len, encoding(path).encode_ordinary_batch(pieces, num_threads=1))))
 
 
+def named(s: str, path: str, max_ratio: float) -> bool:
+    """Whether a string is a path or name: all its parts are short, numbers or like words."""
+    if not _JOINS.search(s) or not _NAME.match(s):
+        return False
+    return all(len(p) <= SHORT or p.isdigit() or ratio(p, path) > max_ratio for p in _JOINS.split(s))
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, number of the kind, end), sorted."""
     out = [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 12]
@@ -76,7 +84,9 @@ def random_spans(text: str, base: list[tuple[int, int, int]], path: str = VOCABU
     out = []
     for m in _LONG.finditer(text):
         s = m[0]
-        if not known(s) and not any(a < m.end() and b > m.start() for a, _, b in base) and ratio(s, path) <= max_ratio:
+        if known(s) or any(a < m.end() and b > m.start() for a, _, b in base):
+            continue
+        if ratio(s, path) <= max_ratio and not named(s, path, max_ratio):
             out.append((m.start(), 3, m.end()))
     return out
 

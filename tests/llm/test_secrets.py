@@ -60,3 +60,17 @@ def test_scan(spark):
 def test_overlaps_and_empty(spark):
     assert S.redact("abcdefgh", "assign:1:5,hex:3:7") == "a[assign]h"
     assert S.op7_query(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_random_letters_are_found_and_words_are_not():
+    r = random.Random(15)
+    low, up = string.ascii_lowercase, string.ascii_uppercase
+    for _ in range(40):
+        for key in (
+            "".join(r.choices(low, k=40)), "".join(r.choices(up, k=32)), "sk_live_" + "".join(r.choices(low, k=32)),
+            "-".join("".join(r.choices(up, k=5)) for _ in range(5)),
+        ):
+            text = f"the value {key}, and more"
+            assert [text[a:b] for a, _, b in S.random_spans(text, [])] == [key], key
+    fine = ["INTERNATIONALIZATION_OF_NAMES", "src/main/java/com/example/service/impl", "a/b/c/d/e/f/g/h/i/j/k/l/m/n/o", "2024-01-01/en/us/ab/cd/ef/gh", "uncharacteristically", "Rechtsschutzversicherungsgesellschaften"]
+    assert [f for f in fine if S.random_spans(f, [])] == []
