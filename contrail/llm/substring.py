@@ -11,10 +11,11 @@ with the runs of history, and becomes a run itself; once there are MAX_RUNS they
 into one. What a batch shares with history or within itself are the candidate grams.
 
 Verification. What a candidate gram stands for in a document is its context, the words from the
-first to the last of its windows. Contexts are compared in full by two independent 64-bit hashes:
+first to the last of its windows. Contexts are compared by XXH3 with 128 bits over their words:
 where a smaller doc_id has the same context, all its windows go. Of each context only its first
 holder is left to settle, and only if the gram stands in other contexts too: its windows are
-compared in full by two independent 64-bit hashes; the least doc_id that has one owns it.
+compared by XXH3 with 128 bits over their words; the least doc_id that has one owns it. The
+grams' own quick hashes decide nothing; two grams under one hash only meet for nothing.
 
 Joins on grams and windows have sums by key on one side; the other side's hot keys are left to
 adaptive splitting. Texts are shuffled twice, by document.
@@ -22,7 +23,8 @@ adaptive splitting. Texts are shuffled twice, by document.
 Defined results. A null text has no words. A null doc_id is not smaller than any other and has
 none smaller: nothing is removed from or because of it. Rows with one doc_id are one document
 for the comparison, and each row gets its own result. Texts shorter than a window keep all. An
-empty table gives an empty result. Other columns are not read. A text is held whole by a task.
+empty table gives an empty result. Other columns are not read. A text is held whole by a task; it
+may have any number of words that fits.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stages
-from .textarrays import Sums, Words, anchors, covered, minimizers, mixed, parts, runs, spread
+from .textarrays import Words, anchors, covered, digests, minimizers, parts, runs, spread
 
 WINDOW = 13
 GRAM = 5
@@ -46,8 +48,11 @@ def _with_key(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
 
 
+_OCC = ["gram", "context", "check", "doc_id", "th", "first", "more"]
+
+
 def _occurrences(batches):
-    """(doc_id, th, text) -> (gram, context, doc_id, th, first, last): the windows that a gram stands for."""
+    """(doc_id, th, text) -> _OCC: the windows first .. first + more that a gram stands for, and their words' digest."""
     for batch in batches:
         for lo, hi, data, offsets in parts(batch.column(2)):
             ws = Words(data, offsets)
@@ -59,34 +64,32 @@ def _occurrences(batches):
             at, first, last = anchors(minimizers(grams, valid, windows, WINDOW - GRAM + 1), windows)
             row = np.searchsorted(ws.first, at, "right") - 1
             own = batch.select(["doc_id", "th"]).take(pa.array(lo + row))
-            base = ws.first[row]
-            shape = ((at - first) * 100 + (last - first)).astype(np.uint64)
-            context = mixed(Sums(ws.hashes(4)).of(first, last + WINDOW) + shape * np.uint64(0x9E3779B97F4A7C15))
+            buffer, starts, ends = ws.joined()
+            context, check = digests(buffer, starts[first], ends[last + WINDOW - 1], (at - first) * 100 + (last - first))
+            places = [pa.array((first - ws.first[row]).astype(np.int32)), pa.array((last - first).astype(np.int8))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[at].view(np.int64)), pa.array(context.view(np.int64)), own.column(0), own.column(1), pa.array((first - base).astype(np.int32)), pa.array((last - base).astype(np.int32))],
-                names=["gram", "context", "doc_id", "th", "first", "last"],
+                [pa.array(grams[at].view(np.int64)), pa.array(context), pa.array(check), own.column(0), own.column(1), *places], names=_OCC
             )
 
 
 def _windows(batches):
-    """(doc_id, text, contexts) -> (w1, w2, doc_id, gram, context, at): full fingerprints of the windows of contexts, at from their start."""
+    """(doc_id, text, contexts) -> (w1, w2, doc_id, gram, context, check, at): digests of the windows of contexts, at from their start."""
     for batch in batches:
         found = batch.column(2)
         bounds, flat = found.offsets.to_numpy(), found.values
-        firsts, lasts, grams, contexts = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4))
+        firsts, mores, grams, contexts, checks = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(5))
         for lo, hi, data, offsets in parts(batch.column(1)):
             ws = Words(data, offsets)
             a, b = bounds[lo], bounds[hi]
             row = np.repeat(np.arange(hi - lo), np.diff(bounds[lo : hi + 1]))
-            n = lasts[a:b] - firsts[a:b] + 1
-            starts = spread(firsts[a:b], lasts[a:b]) + np.repeat(ws.first[row], n)
-            w1, w2 = (runs(ws.hashes(seed), starts, WINDOW) for seed in (2, 3))
+            n = mores[a:b] + 1
+            windows = spread(firsts[a:b], firsts[a:b] + mores[a:b]) + np.repeat(ws.first[row], n)
+            buffer, starts, ends = ws.joined()
+            w1, w2 = digests(buffer, starts[windows], ends[windows + WINDOW - 1])
             ids = batch.column(0).take(pa.array(lo + np.repeat(row, n)))
             at = spread(np.zeros(len(n), np.int64), n - 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), ids, pa.array(np.repeat(grams[a:b], n)), pa.array(np.repeat(contexts[a:b], n)), pa.array(at.astype(np.int32))],
-                names=["w1", "w2", "doc_id", "gram", "context", "at"],
-            )
+            keys = [pa.array(np.repeat(x[a:b], n)) for x in (grams, contexts, checks)]
+            yield pa.RecordBatch.from_arrays([pa.array(w1), pa.array(w2), ids, *keys, pa.array(at.astype(np.int32))], names=["w1", "w2", "doc_id", "gram", "context", "check", "at"])
 
 
 def _kept(batches):
@@ -166,29 +169,36 @@ def dedup(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """(doc_id, n_words, n_removed, text): text has the words that are left, joined by one space."""
     stages, docs = Stages(docs.sparkSession), _with_key(docs)
     some = docs.where("doc_id is not null")
-    occ = stages.keep(some.mapInArrow(_occurrences, "gram long, context long, doc_id long, th long, first int, last int"), "occ")
+    occ = stages.keep(some.mapInArrow(_occurrences, "gram long, context long, check long, doc_id long, th long, first int, more byte"), "occ")
     grams = _candidates(occ, stages, batches)
     hits = stages.keep(occ.join(grams.hint("merge"), "gram", "left_semi"), "hits")
     stages.drop("occ", "grams")
-    one = F.min(F.struct("doc_id", "th", "first", "last")).alias("one")
-    classes = stages.keep(hits.groupBy("gram", "context").agg(one), "classes")
+    key = ["gram", "context", "check"]
+
+    def same(prefix: str):
+        return (F.col("gram") == F.col(f"{prefix}_gram")) & (F.col("context") == F.col(f"{prefix}_context")) & (F.col("check") == F.col(f"{prefix}_check"))
+
+    def named(rows: DataFrame, prefix: str) -> DataFrame:
+        return rows.withColumnsRenamed({c: f"{prefix}_{c}" for c in key})
+
+    classes = stages.keep(hits.groupBy(*key).agg(F.min(F.struct("doc_id", "th", "first", "more")).alias("one")), "classes")
     crowds = classes.groupBy(F.col("gram").alias("c_gram")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    asked = classes.join(crowds.hint("merge"), F.col("gram") == F.col("c_gram")).select("one.*", "gram", "context")
-    asked = asked.groupBy(F.col("doc_id").alias("a_id"), F.col("th").alias("a_th")).agg(F.collect_list(F.struct("first", "last", "gram", "context")).alias("contexts"))
+    asked = classes.join(crowds.hint("merge"), F.col("gram") == F.col("c_gram")).select("one.*", *key)
+    asked = asked.groupBy(F.col("doc_id").alias("a_id"), F.col("th").alias("a_th")).agg(F.collect_list(F.struct("first", "more", *key)).alias("contexts"))
     once = some.join(asked.hint("merge"), (F.col("doc_id") == F.col("a_id")) & (F.col("th") == F.col("a_th"))).select("doc_id", "text", "contexts")
-    windows = stages.keep(once.mapInArrow(_windows, "w1 long, w2 long, doc_id long, gram long, context long, at int"), "windows")
+    windows = stages.keep(once.mapInArrow(_windows, "w1 long, w2 long, doc_id long, gram long, context long, check long, at int"), "windows")
     owners = windows.groupBy(F.col("w1").alias("o1"), F.col("w2").alias("o2")).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     owned = windows.join(
         owners.where("lo < hi").hint("merge"), (F.col("w1") == F.col("o1")) & (F.col("w2") == F.col("o2")) & (F.col("lo") < F.col("doc_id"))
-    ).select(F.col("gram").alias("w_gram"), F.col("context").alias("w_context"), F.col("doc_id").alias("w_id"), "at").distinct()
-    first = classes.select(F.col("gram").alias("f_gram"), F.col("context").alias("f_context"), F.col("one.doc_id").alias("lo"))
-    again = hits.join(
-        first.hint("merge"), (F.col("gram") == F.col("f_gram")) & (F.col("context") == F.col("f_context")) & (F.col("lo") < F.col("doc_id"))
-    ).select("doc_id", "th", "first", "last")
+    ).select(*key, F.col("doc_id").alias("w_id"), "at").distinct()
+    first = classes.select(*key, F.col("one.doc_id").alias("lo"))
+    again = hits.join(named(first, "f").hint("merge"), same("f") & (F.col("lo") < F.col("doc_id"))).select(
+        "doc_id", "th", "first", (F.col("first") + F.col("more")).alias("last")
+    )
     # the windows that the first holder loses, wherever it has that context
-    settled = hits.join(
-        owned.hint("merge"), (F.col("gram") == F.col("w_gram")) & (F.col("context") == F.col("w_context")) & (F.col("doc_id") == F.col("w_id"))
-    ).select("doc_id", "th", (F.col("first") + F.col("at")).alias("first"), (F.col("first") + F.col("at")).alias("last"))
+    settled = hits.join(named(owned, "w").hint("merge"), same("w") & (F.col("doc_id") == F.col("w_id"))).select(
+        "doc_id", "th", (F.col("first") + F.col("at")).alias("first"), (F.col("first") + F.col("at")).alias("last")
+    )
     gone = again.unionByName(settled).groupBy(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th")).agg(
         F.collect_set(F.struct("first", "last")).alias("ranges")  # of one document
     )

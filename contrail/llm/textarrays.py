@@ -2,12 +2,17 @@
 
 All functions work over many texts at once; a text's bounds are respected by masks, so the
 cost is a few array passes a byte, with no Python work a word.
+
+Two kinds of hashes. ``Sums`` are quick rolling ones that choose and group candidates; they are
+linear, so texts can be built that they don't tell apart, and nothing is decided by them. What
+decides is ``digests``: XXH3 with 128 bits over the bytes themselves.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Bytes of text that are worked on at once; a longer text is a slice by itself.
 SLICE = 1 << 18
@@ -58,6 +63,16 @@ class Sums:
         return mixed(runs + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def digests(buffer: bytes, starts: np.ndarray, ends: np.ndarray, salt: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """XXH3-128 of each run of bytes as two arrays of longs; a salt keeps runs of another shape apart."""
+    of = xxhash.xxh3_128_digest
+    out = np.frombuffer(b"".join([of(buffer[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]), "<u8").reshape(-1, 2)
+    one, two = out[:, 0].copy(), out[:, 1].copy()
+    if salt is not None:
+        one ^= mixed(salt.astype(np.uint64) + np.uint64(1))
+    return one.view(np.int64), two.view(np.int64)
+
+
 def parts(column: pa.Array, limit: int = SLICE):
     """(first row, row past the last, bytes, offsets of the rows in them); null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -96,6 +111,21 @@ class Words:
     def hashes(self, seed: int) -> np.ndarray:
         return Sums(byte_values(seed)[self.data]).of(self.starts, self.ends)
 
+    def joined(self) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """All words with one space behind each, and where they start and end there."""
+        keep = np.zeros(len(self.data) + 1, bool)
+        steps = np.zeros(len(self.data) + 2, np.int8)
+        steps[self.starts] += 1
+        steps[self.ends] -= 1
+        keep[:] = np.cumsum(steps[:-1], dtype=np.int8) > 0
+        sizes = self.ends - self.starts
+        ends = np.cumsum(sizes + 1) - 1 if len(sizes) else np.zeros(0, np.int64)
+        out = np.full(int(ends[-1]) + 1 if len(ends) else 0, 32, np.uint8)
+        inside = np.ones(len(out), bool)
+        inside[ends] = False
+        out[inside] = self.data[keep[:-1]]
+        return out.tobytes(), ends - sizes, ends
+
     def run_starts(self, k: int) -> np.ndarray:
         """The words at which a run of k words of one text starts."""
         i = np.arange(len(self))
@@ -106,15 +136,28 @@ def runs(hashes: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
     return Sums(hashes).of(starts, starts + k)
 
 
+#: Places are told by the lower bits of a key, so windows are taken in blocks of fewer.
 _PLACE = np.uint64((1 << 24) - 1)
+BLOCK = 1 << 20
 
 
 def minimizers(grams: np.ndarray, valid: np.ndarray, windows: np.ndarray, width: int) -> np.ndarray:
     """For each window the place of its least gram, the leftmost of equal ones.
 
     grams[i] is the hash of the gram at i, valid[i] whether it lies in one text; a window at w
-    holds the grams w..w+width-1. Order is by the upper 40 bits of the hash, then by place.
+    holds the grams w..w+width-1; windows rise. Order is by the upper 40 bits of the hash, then by
+    place. Any number of grams: they are taken in overlapping blocks.
     """
+    out = np.empty(len(windows), np.int64)
+    for lo in range(0, len(grams), BLOCK):
+        a, b = np.searchsorted(windows, (lo, lo + BLOCK))
+        if a < b:
+            part = slice(lo, lo + BLOCK + width - 1)
+            out[a:b] = lo + _least(grams[part], valid[part], windows[a:b] - lo, width)
+    return out
+
+
+def _least(grams: np.ndarray, valid: np.ndarray, windows: np.ndarray, width: int) -> np.ndarray:
     key = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
     key[~valid] = np.uint64(0xFFFFFFFFFFFFFFFF)
     done, least = 1, key

@@ -1,7 +1,10 @@
 import hashlib
 import random
 
+import numpy as np
+
 from contrail.llm import substring as S
+from contrail.llm import textarrays as A
 from contrail.llm.common import Stages
 
 SCHEMA = "doc_id long, text string, th long, gram string"
@@ -68,6 +71,38 @@ def test_index_compacts_and_remembers(spark):
     assert sorted(x[0] for x in index.ingest(batch([(3, 9), (9, 9)])).collect()) == [3]
 
 
+def _signs(n):
+    """A sequence of a and b whose swapped copy has the same polynomial hash modulo 2**64 under any odd base."""
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_built_collisions_remove_nothing(spark):
+    """Two words, and two passages, that rolling hashes modulo 2**64 can't tell apart."""
+    head, x = " ".join(f"w{i}" for i in range(12)), _signs(1024)
+    y = x.translate(str.maketrans("ab", "ba"))
+    docs = [(1, f"{head} {x}", 1, "g"), (2, f"{head} {y}", 1, "g"), (3, " ".join(x), 1, "g"), (4, " ".join(y), 1, "g")]
+    got = sorted(map(tuple, S.op2_query(spark.createDataFrame(docs, SCHEMA)).collect()), key=str)
+    assert got == brute(docs) and [g[2] for g in got[:2]] == [0, 0]
+
+
+def test_places_past_a_block(monkeypatch):
+    """Minimizers of a text of many blocks are those of one block; their places lie in their windows."""
+    rng = np.random.default_rng(4)
+    grams, valid, windows = rng.integers(0, 2**63, 5000, dtype=np.uint64), np.ones(5000, bool), np.arange(4992)
+    whole = A.minimizers(grams, valid, windows, 9)
+    monkeypatch.setattr(A, "BLOCK", 64)
+    assert (A.minimizers(grams, valid, windows, 9) == whole).all() and (whole >= windows).all() and (whole < windows + 9).all()
+
+
+def test_places_past_24_bits():
+    n = (1 << 24) + 3000
+    grams = A.mixed(np.arange(n, dtype=np.uint64))
+    windows = np.arange(n - 2000, n - 8)
+    got = A.minimizers(grams, np.ones(n, bool), windows, 9)
+    assert ((got >= windows) & (got < windows + 9)).all()
+    assert (grams[got] >> np.uint64(24) == [(grams[w : w + 9] >> np.uint64(24)).min() for w in windows]).all()
+
+
 def test_empty(spark):
     assert S.op2_query(spark.createDataFrame([], SCHEMA)).collect() == []
     one = S.op2_query(spark.createDataFrame([(1, "few words", 1, "g")], SCHEMA)).collect()
