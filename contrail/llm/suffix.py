@@ -7,20 +7,25 @@ their common prefixes, in this way:
 1. Sampling. Every string of LENGTH bytes has a sampled suffix inside: the one that starts at
    its run of GRAM bytes with the least hash. Equal strings have it at the same offset. What a
    sampled suffix stands for is its context: the bytes from the first to the last of its strings.
-   Contexts are counted by value; all strings of a context that occurs twice are repeated, and
-   a gram that stands in one context only needs no sorting. This is the recursion's reduced text:
-   each distinct context under a gram that others share is one tuple.
-2. Base. The tuples are sorted by (gram, bytes from the gram on). The sort is Spark's external
+   Contexts are counted by XXH3 of 128 bits; all strings of a context that occurs twice are
+   repeated, and a gram that stands in one context only needs no sorting. This is the recursion's
+   reduced text: each distinct context under a gram that others share is one tuple.
+2. Recursion. A key with more than CROWD tuples is cut by longer keys: its strings begin at most
+   ``rest`` bytes left of the anchor; those of the nearer half share half of ``rest`` bytes more
+   to the right of it, those of the farther half as many to the left, and these bytes join the
+   key. After eight steps at most a key is a whole string, and its tuples are all alike.
+3. Base. The tuples are sorted by (key, bytes from the anchor on). The sort is Spark's external
    one: sorted runs on disk, merged through a heap, which is the disk-backed priority queue
-   here; no task holds more than CHUNK tuples. Neighbours' common prefixes follow from it.
-3. Induction. The suffixes one byte further left are in the order of (that byte, order so far),
+   here; no task holds more than CHUNK tuples and CROWD of a key. Neighbours' common prefixes
+   follow from it.
+4. Induction. The suffixes one byte further left are in the order of (that byte, order so far),
    and the common prefix of neighbours with one byte is one more than the least between them in
    the order so far. So order and common prefixes are carried left byte by byte, without
    comparing strings again; suffixes that share too little with both neighbours drop out.
    Neighbours with LENGTH bytes in common are repeated strings.
 
-A gram with more than HOT contexts (a passage that many texts go on from) would crowd one task.
-Its strings are compared by two 64-bit hashes in a count by key instead, which is as exact.
+So suffixes are sorted and induced around sampled anchors and not over the whole corpus: there is
+no suffix array of all bytes, whose induction passes every byte through the queues many times.
 
 Defined results. A null text has no bytes. Rows are texts of their own, also if doc_ids repeat or
 are null: of two equal rows both lose what they share. An empty table gives an empty result.
@@ -31,17 +36,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stages
-from .textarrays import SLICE, Sums, anchors, byte_values, covered, minimizers, mixed, parts
+from .textarrays import SLICE, Sums, anchors, byte_values, covered, digests, minimizers, parts
 
 LENGTH = 200
 GRAM = 32
 CHUNK = 20_000
-HOT = 50_000
-_TUPLES = "gram long, context long, hot boolean, lo int, left_bytes binary, right_bytes binary"
+CROWD = 2_000
+#: key groups the tuples (at first the gram); a string of a tuple begins lo .. length(left_bytes) before the anchor, rest at most;
+#: shift is how far the anchor lies left of the gram.
+_TUPLES = "key long, rest int, shift int, gram long, context long, check long, lo int, left_bytes binary, right_bytes binary"
+_NAMES = [x.split()[0] for x in _TUPLES.split(", ")]
 
 
 def _pieces(column):
@@ -57,8 +66,8 @@ def _pieces(column):
 
 
 def _occurrences(batches):
-    """(doc_id, th, text) -> (gram, context, doc_id, th, at, first, last), places in bytes of the text."""
-    names = ["gram", "context", "doc_id", "th", "at", "first", "last"]
+    """(doc_id, th, text) -> (gram, context, check, doc_id, th, at, first, last), places in bytes of the text."""
+    names = ["gram", "context", "check", "doc_id", "th", "at", "first", "last"]
     for batch in batches:
         for lo, hi, base, data, offsets in _pieces(batch.column(2)):
             n = len(data)
@@ -70,17 +79,22 @@ def _occurrences(batches):
             grams[valid] = sums.of(i[valid], i[valid] + GRAM)
             windows = i[i + LENGTH <= row_end]
             at, first, last = anchors(minimizers(grams, valid, windows, LENGTH - GRAM + 1), windows)
-            shape = ((at - first) * 1000 + (last - first)).astype(np.uint64)
-            context = mixed(Sums(byte_values(12)[data]).of(first, last + LENGTH) + shape * np.uint64(0x9E3779B97F4A7C15))
+            context, check = digests(data.tobytes(), first, last + LENGTH, (at - first) * 1000 + (last - first))
             row = np.searchsorted(offsets, at, "right") - 1
             own = batch.select(["doc_id", "th"]).take(pa.array(lo + row))
             start = offsets[row] - base
             places = [pa.array((x - start).astype(np.int64)) for x in (at, first, last)]
-            yield pa.RecordBatch.from_arrays([pa.array(grams[at].view(np.int64)), pa.array(context.view(np.int64)), own.column(0), own.column(1), *places], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(grams[at].view(np.int64)), pa.array(context), pa.array(check), own.column(0), own.column(1), *places], names=names)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+    columns = list(zip(*rows)) if rows else [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=_NAMES)
 
 
 def _tuples(batches):
-    """(text, contexts) -> _TUPLES: the bytes before and from the gram on, lo the least offset of a string."""
+    """(text, contexts) -> _TUPLES: the bytes before and from the gram on."""
     for batch in batches:
         found = batch.column(1)
         bounds, flat = found.offsets.to_numpy(), found.values
@@ -89,11 +103,26 @@ def _tuples(batches):
         for r, text in enumerate(batch.column(0).to_pylist()):
             data = text.encode()
             for j in range(bounds[r], bounds[r + 1]):
-                gram, context, hot, at, first, last = (x[j] for x in lists)
-                rows.append((gram, context, hot, at - last, data[first:at], data[at : last + LENGTH]))
-        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary())
-        columns = list(zip(*rows)) if rows else [[]] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["gram", "context", "hot", "lo", "left_bytes", "right_bytes"])
+                gram, context, check, at, first, last = (x[j] for x in lists)
+                rows.append((gram, LENGTH - GRAM, 0, gram, context, check, at - last, data[first:at], data[at : last + LENGTH]))
+        yield _batch(rows)
+
+
+def _finer(batches):
+    """Tuples of crowded keys under two longer keys each: strings that begin near the anchor, and those that begin farther."""
+    key = lambda *x: int(np.uint64(xxhash.xxh3_64_intdigest(b"%d %d " % x[:2] + x[2])).view(np.int64))
+    for batch in batches:
+        rows = []
+        for k, rest, shift, gram, context, check, lo, left, right in zip(*(batch.column(i).to_pylist() for i in range(9))):
+            half = rest // 2
+            if lo <= half:
+                rows.append((key(k, 0, right[: LENGTH - half]), half, shift, gram, context, check, lo, left[max(0, len(left) - half) :], right))
+            far = half + 1
+            if len(left) >= far:
+                more = (left[len(left) - far :] + right)[: LENGTH - max(lo - far, 0)]
+                less = rest - far
+                rows.append((key(k, 1, more[: LENGTH - less]), less, shift + far, gram, context, check, max(lo - far, 0), left[: len(left) - far], more))
+        yield _batch(rows)
 
 
 def _matrix(column: list[bytes], width: int, reverse: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -165,14 +194,15 @@ def _left(order: np.ndarray, lcp: np.ndarray, group: np.ndarray, byte: np.ndarra
 
 
 def _induced(batches):
-    """Tuples sorted by (gram, right bytes) -> (gram, context, first, last): offsets of repeated strings."""
+    """Tuples sorted by (key, right bytes) -> (gram, context, check, first, last): offsets of repeated strings."""
     held: list[tuple] = []
+    names = ["gram", "context", "check", "first", "last"]
 
     def flush(rows):
         if not rows:
             return
-        gram, context, lo, left, right = zip(*rows)
-        found = induce(np.array(gram, np.int64), np.array(lo, np.int64), list(left), list(right))
+        key, shift, gram, context, check, lo, left, right = zip(*rows)
+        found = induce(np.array(key, np.int64), np.array(lo, np.int64), list(left), list(right))
         ranges, prev = [], None
         for t, o in sorted(found):
             if prev and prev[0] == t and prev[2] + 1 == o:
@@ -180,12 +210,11 @@ def _induced(batches):
             else:
                 prev = [t, o, o]
                 ranges.append(prev)
-        columns = [[gram[t] for t, _, _ in ranges], [context[t] for t, _, _ in ranges], [a for _, a, _ in ranges], [b for _, _, b in ranges]]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["gram", "context", "first", "last"])
+        columns = [[x[t] for t, _, _ in ranges] for x in (gram, context, check)] + [[y[k] + shift[y[0]] for y in ranges] for k in (1, 2)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(),) * 3 + (pa.int32(),) * 2)], names=names)
 
     for batch in batches:
-        rows = list(zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4, 5))))
-        held += rows
+        held += list(zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5, 6, 7, 8))))
         if len(held) >= CHUNK:
             cut = len(held)
             while cut and held[cut - 1][0] == held[-1][0]:
@@ -195,19 +224,34 @@ def _induced(batches):
     yield from flush(held)
 
 
-def _strings(batches):
-    """Tuples of hot grams -> (w1, w2, gram, context, o): each of their strings by two hashes."""
-    for batch in batches:
-        for gram, context, _, lo, left, right in zip(*(batch.column(i).to_pylist() for i in range(6))):
-            data = np.frombuffer(left + right, np.uint8)
-            o = np.arange(lo, len(left) + 1)
-            starts = len(left) - o
-            ws = [Sums(byte_values(seed)[data]).of(starts, starts + LENGTH) for seed in (13, 14)]
-            n = len(o)
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(w.view(np.int64)) for w in ws), pa.array(np.full(n, gram)), pa.array(np.full(n, context)), pa.array(o.astype(np.int32))],
-                names=["w1", "w2", "gram", "context", "o"],
-            )
+def repeated_offsets(tuples: DataFrame, stages: Stages, crowd: int = CROWD) -> DataFrame:
+    """(gram, context, check, first, last): the offsets of strings that two tuples have."""
+    small, level, drop = [], 0, []
+    while True:
+        sizes = tuples.where("rest > 0").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        many = stages.keep(sizes.where(F.col("n") > crowd).select(F.col("key").alias("m_key")), f"many-{level}")
+        drop.append(f"many-{level}")
+        if many.isEmpty():
+            small.append(tuples)
+            break
+        small.append(tuples.join(many.hint("merge"), F.col("key") == F.col("m_key"), "left_anti"))
+        level += 1
+        crowded = tuples.join(many.hint("merge"), F.col("key") == F.col("m_key"), "left_semi")
+        tuples = stages.keep(crowded.mapInArrow(_finer, _TUPLES), f"tuples-{level}")
+        drop.append(f"tuples-{level}")
+    rows = small[0]
+    for more in small[1:]:
+        rows = rows.unionByName(more)
+    n_tasks = max(1, int(tuples.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.where("rest > 0").repartition(n_tasks, "key").sortWithinPartitions("key", "right_bytes")
+    induced = dealt.mapInArrow(_induced, "gram long, context long, check long, first int, last int")
+    # the recursion's end: a key is a whole string, and its bytes are compared as they are
+    ends = rows.where("rest = 0").select("gram", "context", "check", F.col("shift").alias("first"), F.col("shift").alias("last"), F.substring("right_bytes", 1, LENGTH).alias("string"))
+    twice = ends.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("string").alias("t_string"))
+    whole = ends.join(twice.hint("merge"), F.col("string") == F.col("t_string"), "left_semi").drop("string")
+    out = stages.keep(induced.unionByName(whole) if level else induced, "offsets")
+    stages.drop(*drop)
+    return out
 
 
 def _cut(batches):
@@ -235,36 +279,37 @@ def _cut(batches):
         )
 
 
-def dedup_bytes(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def dedup_bytes(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): kept has the bytes that are left."""
     stages = Stages(docs.sparkSession)
     docs = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
-    occ = stages.keep(docs.mapInArrow(_occurrences, "gram long, context long, doc_id long, th long, at long, first long, last long"), "occ")
+    occ = stages.keep(docs.mapInArrow(_occurrences, "gram long, context long, check long, doc_id long, th long, at long, first long, last long"), "occ")
     shared = stages.keep(occ.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "shared")
     some = stages.keep(occ.join(shared.hint("merge"), "gram", "left_semi"), "some")
     stages.drop("occ", "shared")
+    key = ["gram", "context", "check"]
     one = F.struct("doc_id", "th", "at", "first", "last")
-    classes = stages.keep(some.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("one")), "classes")
-    crowds = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
-    crowds = stages.keep(crowds.select(F.col("gram").alias("c_gram"), (F.col("classes") > hot).alias("hot")), "crowds")
-    asked = classes.join(crowds.hint("merge"), F.col("gram") == F.col("c_gram")).select("gram", "context", "hot", "one.*")
+    classes = stages.keep(some.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("one")), "classes")
+    crowds = classes.groupBy(F.col("gram").alias("c_gram")).agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    asked = classes.join(crowds.hint("merge"), F.col("gram") == F.col("c_gram"), "left_semi").select(*key, "one.*")
     asked = asked.groupBy(F.col("doc_id").alias("a_id"), F.col("th").alias("a_th")).agg(  # a document's contexts
-        F.collect_list(F.struct("gram", "context", "hot", "at", "first", "last")).alias("contexts")
+        F.collect_list(F.struct(*key, "at", "first", "last")).alias("contexts")
     )
     # a row that repeats a document gives its tuples twice, and all of its strings are repeated indeed
     texts = docs.join(asked.hint("merge"), F.col("doc_id").eqNullSafe(F.col("a_id")) & (F.col("th") == F.col("a_th")))
     tuples = stages.keep(texts.select("text", "contexts").mapInArrow(_tuples, _TUPLES), "tuples")
-    n_tasks = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = tuples.where("not hot").repartition(n_tasks, "gram").sortWithinPartitions("gram", "right_bytes")
-    induced = dealt.mapInArrow(_induced, "gram long, context long, first int, last int")
-    strings = tuples.where("hot").mapInArrow(_strings, "w1 long, w2 long, gram long, context long, o int")
-    twice = strings.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnsRenamed({"w1": "t1", "w2": "t2"})
-    counted = strings.join(twice.hint("merge"), (F.col("w1") == F.col("t1")) & (F.col("w2") == F.col("t2")))
-    counted = counted.select("gram", "context", F.col("o").alias("first"), F.col("o").alias("last"))
-    offsets = stages.keep(induced.unionByName(counted).select(F.col("gram").alias("f_gram"), F.col("context").alias("f_context"), F.col("first").alias("o1"), F.col("last").alias("o2")), "offsets")
-    stages.drop("tuples", "crowds")
-    lone = some.join(classes.where("n > 1").select(F.col("gram").alias("k_gram"), F.col("context").alias("k_context")).hint("merge"), (F.col("gram") == F.col("k_gram")) & (F.col("context") == F.col("k_context")), "left_semi")
-    part = some.join(offsets.hint("merge"), (F.col("gram") == F.col("f_gram")) & (F.col("context") == F.col("f_context")))
+    offsets = repeated_offsets(tuples, stages, crowd)
+    stages.drop("tuples")
+
+    def same(prefix: str):
+        return (F.col("gram") == F.col(f"{prefix}_gram")) & (F.col("context") == F.col(f"{prefix}_context")) & (F.col("check") == F.col(f"{prefix}_check"))
+
+    def named(rows: DataFrame, prefix: str) -> DataFrame:
+        return rows.withColumnsRenamed({c: f"{prefix}_{c}" for c in key})
+
+    lone = some.join(named(classes.where("n > 1").select(*key), "k").hint("merge"), same("k"), "left_semi")
+    found = named(offsets, "f").withColumnsRenamed({"first": "o1", "last": "o2"})
+    part = some.join(found.hint("merge"), same("f"))
     starts = lone.select("doc_id", "th", "first", "last").unionByName(
         part.select("doc_id", "th", (F.col("at") - F.col("o2")).alias("first"), (F.col("at") - F.col("o1")).alias("last"))
     )

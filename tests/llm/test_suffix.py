@@ -46,7 +46,7 @@ def test_against_brute_force(spark):
     want = brute(docs)
     assert sum(w[2] for w in want) > 10000
     assert sorted(map(tuple, S.op6_query(df).collect()), key=str) == want
-    few = S.dedup_bytes(df, hot=2).select("doc_id", "n_bytes", "n_removed", "n_spans")
+    few = S.dedup_bytes(df, crowd=2).select("doc_id", "n_bytes", "n_removed", "n_spans")
     assert sorted(map(tuple, few.collect()), key=str) == sorted((w[:4] for w in want), key=str)
 
 
@@ -80,5 +80,22 @@ def test_induced_order_against_sorting():
     assert sorted(got) == sorted(x for v in at.values() if len(v) > 1 for x in v)
 
 
+def test_built_collisions_remove_nothing(spark):
+    """Two texts that a rolling hash modulo 2**64 can't tell apart."""
+    x = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    docs = [(1, "q" * 60 + x, 1, "k"), (2, "z" * 60 + x.translate(str.maketrans("ab", "ba")), 1, "k")]
+    assert sorted(map(tuple, S.op6_query(spark.createDataFrame(docs, SCHEMA)).collect())) == brute(docs)
+
+
+def test_a_crowded_gram(spark):
+    """Hundreds of contexts around one passage: cut by longer keys down to whole strings, nothing lost."""
+    r = random.Random(3)
+    text = lambda n: "".join(r.choices("ab", k=n))
+    p = text(190)
+    docs = [(i, text(r.choice([0, 5, 9, 180])) + p + text(r.choice([0, 4, 10, 180])), 1, "k") for i in range(250)]
+    got = S.dedup_bytes(spark.createDataFrame(docs, SCHEMA), crowd=3).select("doc_id", "n_bytes", "n_removed", "n_spans").collect()
+    assert sorted(map(tuple, got), key=str) == [w[:4] for w in brute(docs)]
+
+
 def test_empty(spark):
     assert S.op6_query(spark.createDataFrame([], SCHEMA)).collect() == []
