@@ -1,17 +1,20 @@
 """Language identification by cross-parsing entropy.
 
 Labelled text of each language makes a suffix automaton. A document is parsed against each:
-the longest match with anything in the labelled text is a phrase, and parsing goes on behind
-it (a character that the labelled text lacks is a phrase by itself). The language that needs
+the longest match with anything in a labelled text is a phrase, and parsing goes on behind
+it (a character that the labelled texts lack is a phrase by itself). The language that needs
 the fewest phrases, normalised, wins: phrases * log2(labelled characters) / characters.
 
-Letters are lower-cased; all that isn't a letter counts as one space. Parsing starts anew
-every BLOCK characters, which adds at most a phrase a block; so long texts are parsed as
-parallel blocks, whole, in bounded memory.
+Letters are lower-cased; all that isn't a letter counts as one space. Texts are parsed whole. So
+that many characters are parsed at once, a text is cut into blocks that are parsed from the
+automaton's start side by side; then every block is parsed again from the state in which the one
+before it really ends, until both parses are in one state, from where on they are the same.
 
-The labelled sample is at most SAMPLE_ROWS rows and SAMPLE_CHARS characters a language, and
-LANGUAGES languages (the most frequent): the rows with the least hashes of their ids. It is the
-only thing that goes through the driver. Automata are built once in a worker, as dense tables.
+The labelled sample is at most SAMPLE_ROWS rows and SAMPLE_CHARS characters a language, the rows
+with the least hashes of their ids, and all languages. It is the only thing that goes through the
+driver. Automata are built once in a worker; one has some 60,000 states, each with its first move
+in an array and its others in one sorted array, so a language takes about 2 MB however large its
+alphabet is, and languages are parsed in turn.
 
 Defined results. Null texts and texts without a letter are ``und`` with score 0. Without labelled
 rows every text is ``und``. Ties go to the first language by code point. Score is the gap
@@ -33,11 +36,9 @@ from .common import extended
 
 SAMPLE_ROWS = 200
 SAMPLE_CHARS = 30_000
-LANGUAGES = 64
-BLOCK = 2048
-#: Characters that are parsed at once.
-LANES = 1 << 21
-_SHIFT, _NEXT = np.uint32(29), np.uint32((1 << 29) - 1)
+#: Characters of a block, and of all blocks that are parsed side by side.
+BLOCK = 1024
+AT_ONCE = 1 << 21
 
 
 @lru_cache(maxsize=1)
@@ -88,85 +89,129 @@ def automaton(symbols: list[int]) -> list[dict[int, int]]:
     return moves
 
 
+class Automaton:
+    """The suffix automaton of a language's labelled texts in arrays; no match spans two of them."""
+
+    def __init__(self, texts: list[np.ndarray]):
+        alphabet = np.unique(np.concatenate(texts)) if texts else np.zeros(0, np.uint32)
+        self.codes = np.zeros(int(alphabet[-1]) + 1 if len(alphabet) else 1, np.int32)  # 0: the texts lack it
+        self.codes[alphabet] = np.arange(1, len(alphabet) + 1)
+        self.width, symbols = len(alphabet) + 2, []
+        for t in texts:
+            symbols += [*self.codes[t].tolist(), self.width - 1]  # the last symbol stands between texts only
+        self.bits = math.log2(max(2, sum(map(len, texts))))
+        moves = automaton(symbols)
+        self.start = np.zeros(self.width, np.int32)  # moves from the start; 0 for none
+        self.symbol, self.to = np.full(len(moves), -1, np.int32), np.zeros(len(moves), np.int32)
+        more = []
+        for c, to in moves[0].items():
+            self.start[c] = to
+        for s in range(1, len(moves)):
+            for k, (c, to) in enumerate(moves[s].items()):
+                if k:
+                    more.append((s * self.width + c, to))
+                else:
+                    self.symbol[s], self.to[s] = c, to
+        more.sort()
+        self.keys = np.array([*(k for k, _ in more), np.iinfo(np.int64).max], np.int64)
+        self.others = np.array([*(to for _, to in more), 0], np.int32)
+
+    def coded(self, text: np.ndarray) -> np.ndarray:
+        return np.where(text < len(self.codes), self.codes[np.minimum(text, len(self.codes) - 1)], 0)
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states, and the phrases that end on the way: where a match can't go on, and at an unknown symbol."""
+        next_, ended = self.to[state], np.zeros(len(state), np.uint8)
+        odd = np.flatnonzero(self.symbol[state] != symbol)
+        if len(odd):
+            s, c = state[odd], symbol[odd]
+            key = s.astype(np.int64) * self.width + c
+            at = np.searchsorted(self.keys, key)
+            found = self.keys[at] == key
+            anew = self.start[c]
+            next_[odd] = np.where(found, self.others[at], anew)
+            ended[odd] = np.where(found, 0, (s > 0).astype(np.uint8) + (anew == 0))
+        return next_, ended
+
+    def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
+        """The number of phrases of each text."""
+        out, carried, some, held = np.zeros(len(texts), np.int64), {}, [], 0
+        for i, t in enumerate(texts):
+            for lo in range(0, len(t), BLOCK):
+                some.append((i, lo))
+                held += BLOCK
+                if held >= AT_ONCE:
+                    self._parse(texts, some, carried, out)
+                    some, held = [], 0
+        self._parse(texts, some, carried, out)
+        for i, state in carried.items():
+            out[i] += state > 0
+        return out
+
+    def _parse(self, texts, some: list[tuple[int, int]], carried: dict[int, int], out: np.ndarray) -> None:
+        """Adds the phrases that end in these blocks to out; carried has the state behind each text's last block so far."""
+        if not some:
+            return
+        lengths = np.array([min(BLOCK, len(texts[i]) - lo) for i, lo in some])
+        order = np.argsort(-lengths, kind="stable")
+        lengths, place = lengths[order], np.empty(len(some), np.int64)
+        place[order] = np.arange(len(some))
+        owner = np.array([i for i, _ in some])
+        before = np.full(len(some), -1)  # the lane of the block before
+        first = np.zeros(len(some), np.int32)  # or the state behind it
+        for j, (i, lo) in enumerate(some):
+            if lo and j and some[j - 1][0] == i:
+                before[place[j]] = place[j - 1]
+            elif lo:
+                first[place[j]] = carried[i]
+        symbols = np.zeros((int(lengths[0]), len(some)), np.int32)
+        for lane, j in enumerate(order.tolist()):
+            i, lo = some[j]
+            symbols[: lengths[lane], lane] = self.coded(texts[i][lo : lo + BLOCK])
+        states, ended = np.zeros(symbols.shape, np.int32), np.zeros(symbols.shape, np.uint8)
+        alive = np.searchsorted(-lengths, -np.arange(1, len(symbols) + 1), "right")
+        now = first.copy()
+        for k in range(len(symbols)):
+            now, ended[k, : alive[k]] = self.step(now[: alive[k]], symbols[k, : alive[k]])
+            states[k, : alive[k]] = now
+        used, ends = first.copy(), lengths - 1
+        while True:
+            starts = np.where(before >= 0, states[ends[before], before], first)
+            lanes = np.flatnonzero(starts != used)
+            if not len(lanes):
+                break
+            used = starts
+            now = starts[lanes]
+            for k in range(len(symbols)):
+                now, phrases = self.step(now, symbols[k, lanes])
+                apart = (states[k, lanes] != now) & (k < ends[lanes])
+                states[k, lanes], ended[k, lanes] = now, phrases
+                lanes, now = lanes[apart], now[apart]
+                if not len(lanes):
+                    break
+        counts = ended.sum(axis=0, dtype=np.int64)
+        np.add.at(out, owner[order], counts)
+        for j, (i, _) in enumerate(some):
+            carried[i] = int(states[ends[place[j]], place[j]])
+
+
 class Model:
-    """Automata of all languages in one table: next state by (state, symbol), -1 for none."""
+    """The automata of all languages."""
 
     def __init__(self, sample: tuple[tuple[str, str], ...]):
         by_lang: dict[str, list[np.ndarray]] = {}
         for lang, text in sample:
             by_lang.setdefault(lang, []).append(normal(text))
         self.langs = sorted(by_lang)
-        texts = [np.concatenate(by_lang[x])[:SAMPLE_CHARS] for x in self.langs]
-        alphabet = np.unique(np.concatenate(texts)) if texts else np.zeros(0, np.uint32)
-        self.codes = np.zeros(0x110000, np.uint16)  # 0: no language has it
-        self.codes[alphabet] = np.arange(1, len(alphabet) + 1)
-        self.width = len(alphabet) + 1
-        self.bits = [math.log2(max(2, len(t))) for t in texts]
-        # An entry has the next state, times the width, in its lower bits, and above them the phrases
-        # that the step ends: one where the match can't go on, and one for an unknown symbol.
-        tables, self.roots, states = [], [], 0
-        for t in texts:
-            moves = automaton(self.codes[t].tolist())
-            table = np.full((len(moves), self.width), states * self.width, np.uint32)
-            for c, to in moves[0].items():
-                table[:, c] = (to + states) * self.width
-            unknown = np.ones(self.width, np.uint32)
-            unknown[list(moves[0])] = 0
-            table += ((np.arange(len(moves)) > 0).astype(np.uint32)[:, None] + unknown) << _SHIFT
-            for s, out in enumerate(moves):
-                for c, to in out.items():
-                    table[s, c] = (to + states) * self.width
-            tables.append(table)
-            self.roots.append(states * self.width)
-            states += len(moves)
-        if states * self.width > _NEXT:
-            raise ValueError("the labelled sample is too large for the table")
-        self.table = np.concatenate(tables).reshape(-1) if tables else np.zeros(0, np.uint32)
-
-    def phrases(self, blocks: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """(language, block): the number of phrases; blocks is (position, block), longest block first."""
-        n_langs, n = len(self.langs), blocks.shape[1]
-        roots = np.repeat(np.array(self.roots, np.uint32)[:, None], n, 1)
-        state, count = roots.copy(), np.zeros((n_langs, n), np.uint32)
-        alive = np.searchsorted(-lengths, -np.arange(1, blocks.shape[0] + 1), "right")  # blocks with that many symbols
-        m = n
-        now, counted = state, count
-        for k in range(blocks.shape[0]):
-            if alive[k] != m:
-                state[:, :m] = now
-                m = alive[k]
-                now, counted = state[:, :m].copy(), count[:, :m]
-            entry = self.table[now + blocks[k, :m]]
-            counted += entry >> _SHIFT
-            now = entry & _NEXT
-        state[:, :m] = now
-        return count.astype(np.int64) + (state != roots)
+        self.automata = [Automaton([t for t in by_lang[x] if len(t)]) for x in self.langs]
 
     def entropies(self, texts: list[np.ndarray]) -> np.ndarray:
         """(language, text): bits a character."""
-        out = np.zeros((len(self.langs), len(texts)))
-        owner, pieces = [], []
-        for i, t in enumerate(texts):
-            codes = self.codes[t]
-            for lo in range(0, len(codes), BLOCK):
-                pieces.append(codes[lo : lo + BLOCK])
-                owner.append(i)
-        if not pieces:
-            return out
-        lengths = np.array([len(p) for p in pieces])
-        order = np.argsort(-lengths, kind="stable")
-        owner, lengths = np.array(owner)[order], lengths[order]
-        step = max(1, LANES // BLOCK)
-        for lo in range(0, len(order), step):
-            some = order[lo : lo + step]
-            blocks = np.zeros((lengths[lo], len(some)), np.uint32)
-            for j, p in enumerate(some):
-                blocks[: len(pieces[p]), j] = pieces[p]
-            got = self.phrases(blocks, lengths[lo : lo + step])
-            for a in range(len(self.langs)):
-                out[a] += np.bincount(owner[lo : lo + step], got[a], len(texts))
         sizes = np.maximum(1, [len(t) for t in texts])
-        return out * np.array(self.bits)[:, None] / sizes
+        out = np.zeros((len(self.langs), len(texts)))
+        for k, a in enumerate(self.automata):
+            out[k] = a.phrases(texts) * a.bits / sizes
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -181,11 +226,10 @@ def labelled_sample(docs: DataFrame, text: str = "text", lang: str = "lang") ->
     SAMPLE_ROWS rows a task.
     """
     some = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    often = some.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang).limit(LANGUAGES).select(F.col(lang).alias("l"))
     by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "text")
     ranked = some.select("doc_id", F.col(lang).alias("lang"), F.substring(text, 1, SAMPLE_CHARS).alias("text"))
     ranked = ranked.withColumn("k", F.row_number().over(by)).where(F.col("k") <= SAMPLE_ROWS)
-    rows = ranked.join(often, F.col("lang") == F.col("l"), "left_semi").select("lang", "k", "text").collect()
+    rows = ranked.select("lang", "k", "text").collect()
     out, held = [], {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["k"])):
         if held.get(row["lang"], 0) < SAMPLE_CHARS:
@@ -198,15 +242,15 @@ def predict(docs: DataFrame, sample: tuple[tuple[str, str], ...], text: str = "t
     """docs without text, with lang_pred and score."""
     at = docs.columns.index(text)
     rest = docs.select([c for c in docs.columns if c != text])
-    sent = docs.sparkSession.sparkContext.broadcast(sample)  # bounded by the limits above
+    sent = docs.sparkSession.sparkContext.broadcast(sample)  # SAMPLE_CHARS for each language at most
     schema = extended(rest.schema, "lang_pred string, score double")
 
     def run(batches):
         for batch in batches:
             m = model(sent.value)
             langs, scores = [], []
-            for lo in range(0, batch.num_rows, 512):
-                texts = [normal(t or "") for t in batch.column(at).slice(lo, 512).to_pylist()]
+            for lo in range(0, batch.num_rows, 1024):
+                texts = [normal(t or "") for t in batch.column(at).slice(lo, 1024).to_pylist()]
                 bits = m.entropies(texts)
                 for i, t in enumerate(texts):
                     if not m.langs or not (t != 32).any():

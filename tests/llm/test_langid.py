@@ -1,8 +1,10 @@
 import math
 import random
+import re
 import zlib
 
 import numpy as np
+import pytest
 
 from contrail.llm import langid as L
 
@@ -10,32 +12,50 @@ SCHEMA = "doc_id long, text string, lang string, source string, score double"
 
 
 def phrases(text, known):
-    """Cross-parsing by search, one block at a time."""
-    n = 0
-    for lo in range(0, len(text), L.BLOCK):
-        block, i = text[lo : lo + L.BLOCK], 0
-        while i < len(block):
-            k = 1
-            while i + k < len(block) and block[i : i + k + 1] in known and block[i] in known:
-                k += 1
-            i, n = i + k, n + 1
+    """Cross-parsing by search in each labelled text."""
+    n = i = 0
+    while i < len(text):
+        k = 1
+        while i + k < len(text) and any(text[i : i + k + 1] in t for t in known):
+            k += 1
+        i, n = i + k, n + 1
     return n
 
 
-def test_phrases_against_search():
+def plain(text):
+    return re.sub(r"[\W\d_]+", " ", (text or "").lower())
+
+
+@pytest.mark.parametrize("block, at_once", [(L.BLOCK, L.AT_ONCE), (7, 1 << 20), (64, 256)])
+def test_phrases_against_search(monkeypatch, block, at_once):
+    """Whatever the blocks, the phrases are those of one parse over the whole text."""
+    monkeypatch.setattr(L, "BLOCK", block)
+    monkeypatch.setattr(L, "AT_ONCE", at_once)
     r = random.Random(7)
-    known = {"x": "".join(r.choices("abc ", k=600)), "y": "".join(r.choices("abde ", k=500)), "z": "q"}
-    m = L.Model(tuple(known.items()))
-    texts = ["".join(r.choices("abcdez ", k=n)) for n in (1, 2, 3, 50, 2048, 2049, 5000)] + [known["x"], "ééé", ""]
+    known = {"x": ["".join(r.choices("abc ", k=n)) for n in (300, 5, 300)], "y": ["".join(r.choices("abde ", k=500))], "z": ["q"]}
+    m = L.Model(tuple((k, t) for k, ts in known.items() for t in ts))
+    texts = ["".join(r.choices("abcdez ", k=n)) for n in (1, 2, 3, 50, 2048, 2049, 5000)] + [known["x"][0], "ééé", ""]
     codes = [L.normal(t) for t in texts]
     got = m.entropies(codes)
     for a, lang in enumerate(m.langs):
-        own = "".join(map(chr, L.normal(known[lang])))
+        own = ["".join(map(chr, L.normal(t))) for t in known[lang]]
         for i, c in enumerate(codes):
-            want = phrases("".join(map(chr, c)), own) * math.log2(max(2, len(own))) / max(1, len(c))
+            want = phrases("".join(map(chr, c)), own) * math.log2(max(2, sum(map(len, own)))) / max(1, len(c))
             assert abs(got[a, i] - want) < 1e-9
 
 
+def test_many_languages_and_a_large_alphabet():
+    """Twenty languages with three thousand letters each take a few MB and are told apart."""
+    r = random.Random(1)
+    words = {f"l{k:02}": ["".join(chr(0x4E00 + r.randrange(3000)) for _ in range(r.choice([1, 2, 3]))) for _ in range(2000)] for k in range(20)}
+    text = lambda lang, n: " ".join(r.choices(words[lang], k=n))
+    m = L.Model(tuple((lang, text(lang, 2500)) for lang in words for _ in range(3)))
+    assert sum(x.nbytes for a in m.automata for x in (a.symbol, a.to, a.keys, a.others, a.start, a.codes)) < 60e6
+    asked = [(lang, text(lang, 60)) for lang in words]
+    bits = m.entropies([L.normal(t) for _, t in asked])
+    assert [m.langs[k] for k in bits.argmin(axis=0)] == [lang for lang, _ in asked]
+
+
 def test_normal():
     assert "".join(map(chr, L.normal("Ab1,É\n\nß😀z"))) == "ab é ß z"
 
@@ -68,6 +88,24 @@ def test_held_out_accuracy_and_odd_rows(spark):
     assert again == {k: v["lang_pred"] for k, v in by.items()}
 
 
+def test_query_against_brute_force(spark):
+    """The query's predictions and scores, by search in all labelled texts that aren't held out."""
+    docs = rows()[:90]
+    docs = [(i, t[:200] if k % 3 else t[:1300], lang, s, x) for k, (i, t, lang, s, x) in enumerate(docs)]
+    known = {}
+    for i, t, lang, *_ in docs:
+        if zlib.crc32(str(i).encode()) % 3 != 1:
+            known.setdefault(lang, []).append(plain(t))
+    want = {}
+    for i, t, *_ in docs[:30]:
+        t = plain(t)
+        bits = sorted((phrases(t, known[x]) * math.log2(sum(map(len, known[x]))) / len(t), x) for x in known)
+        want[i] = (bits[0][1], (bits[1][0] - bits[0][0]) / bits[1][0])
+    got = {x["doc_id"]: x for x in L.op3_query(spark.createDataFrame(docs, SCHEMA).repartition(3)).collect()}
+    for i, (lang, score) in want.items():
+        assert got[i]["lang_pred"] == lang and abs(got[i]["score"] - score) < 1e-9
+
+
 def test_empty_and_unlabelled(spark):
     assert L.op3_query(spark.createDataFrame([], SCHEMA)).collect() == []
     got = L.op3_query(spark.createDataFrame([(3, "some words", None, "s", 1.0)], SCHEMA)).collect()
