@@ -1,6 +1,7 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from contrail.llm import mixing as M
@@ -57,13 +58,53 @@ def test_permutation_is_one_to_one(spark):
         assert len(set(got)) == len(got) and min(got) >= 0 and max(got) < n
 
 
-def test_slots_and_draws(spark):
+def test_slots_meet_the_quotas(spark):
     m = M.mix(spark.createDataFrame(fixture(), SCHEMA), block=16, shard=64)
-    slots = m.slots.collect()
-    places = [(x["shard"], x["place"]) for x in slots]
-    assert len(set(places)) == len(places) and max(a * 64 + b for a, b in places) == len(places) - 1
-    assert all(n <= 2 for n in m.slots.groupBy("rank", "block").count().select(F.col("count")).toPandas()["count"])
-    assert sum(x["n"] for x in M.draws(m).collect()) == len(slots)
+    quota = {x["rank"]: (x["n_slots"], x["n_blocks"]) for x in m.sources.collect()}
+    slots, drawn = m.slots.collect(), defaultdict(int)
+    by_rank, by_shard = defaultdict(list), defaultdict(int)
+    for x in slots:
+        by_rank[x["rank"]].append((x["slot"], x["block"]))
+        by_shard[x["shard"]] += 1
+    for x in m.counts.collect():
+        drawn[x["rank"]] += x["n"]
+    assert drawn != {k: v for k, (v, _) in quota.items()} and sum(drawn.values()) == len(slots)  # some draws had to move
+    for rank, (n, n_blocks) in quota.items():
+        assert sorted(j for j, _ in by_rank[rank]) == list(range(n))
+        uses = Counter(b for _, b in by_rank[rank])
+        assert not uses or max(uses.values()) <= 2 and max(uses) < n_blocks
+    last = max(by_shard)
+    assert all(n == 64 for k, n in by_shard.items() if k != last) and sum(by_shard.values()) == len(slots)
+
+
+def test_shard_counts_vary_as_a_multinomial(spark):
+    """A quarter of a thousand slots has a variance of 1024 * 0.25 * 0.75 = 192 over the shards."""
+    n_all = 1 << 20
+    sources = spark.createDataFrame([(1, 0, n_all // 4), (2, n_all // 4, n_all // 2), (3, 3 * n_all // 4, 0), (4, 3 * n_all // 4, n_all // 4)], "rank long, first_slot long, n_slots long")
+    rows = M.draw_counts(sources, n_all, 1024).collect()
+    counts = [[x["n"] for x in rows if x["rank"] == k] for k in (1, 2, 4)]
+    assert [len(c) for c in counts] == [1024] * 3 and {x["rank"] for x in rows} == {1, 2, 4}
+    assert all(sum(c[k] for c in [{x["shard"]: x["n"] for x in rows if x["rank"] == r} for r in (1, 2, 4)]) == 1024 for k in range(1024))
+    for c, p in zip(counts, (0.25, 0.5, 0.25)):
+        assert abs(np.var(c) / (1024 * p * (1 - p)) - 1) < 0.1 and abs(np.mean(c) / (1024 * p) - 1) < 0.01
+
+
+def test_blocks_have_the_words_that_are_taken(spark):
+    r = random.Random(2)
+    docs = [(i, " ".join(f"d{i}w{k}" for k in range(r.choice([0, 1, 9, 64, 200, 1000]))), r.choice(["a", "a", "b", None]), 1, 1.0) for i in range(60)]
+    df = spark.createDataFrame(docs, SCHEMA).repartition(3)
+    taken = {x["doc_id"]: x["taken"] for x in M.mix(df, 16, 32).taken.collect()}
+    rows = M.blocks(df, 16, 32).collect()
+    got, source = defaultdict(int), {d[0]: d[2] for d in docs}
+    for x in rows:
+        ws = x["text"].split()
+        assert 0 < len(ws) <= 16
+        for w in ws:
+            got[int(w[1:].split("w")[0])] += 1
+            assert source[int(w[1:].split("w")[0])] == x["source"]
+    assert all(got[d] == t for d, t in taken.items())
+    places = [(x["shard"], x["place"]) for x in rows]
+    assert len(set(places)) == len(places) and max(p for _, p in places) < 32
 
 
 def test_empty(spark):
