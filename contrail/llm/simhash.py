@@ -1,19 +1,25 @@
 """SimHash near-duplicates through pivot distance tables.
 
-Fingerprints are 64 bits; two of them link at MAX_BITS or fewer differing bits.
-
-The bits are cut into BANDS bands. Each band has REFERENCES reference fingerprints, and a
-pivot table has, for every value of the band, its Hamming distances to them. A fingerprint's
-coordinates are its entries in the five tables. Distances obey the triangle inequality, so
-a pair differs in a band by at least its largest coordinate difference there; if those maxima
-sum to more than MAX_BITS, the pair is discarded. Survivors are verified by their bits.
-
-Candidates. MAX_BITS = 3 differing bits leave at least two of five bands alike, whose
-coordinates are then equal: each distinct fingerprint is dealt out under the coordinates of
-every two bands (ten keys), and pairs are looked at inside a key only. A key with more than
-LIMIT fingerprints is cut finer by the same argument on its other bits, as often as needed:
-those are halved into four bands of which one must be alike, until few enough fingerprints or
-so few bits remain that no more than LIMIT can differ. So no pair is lost and no group is large.
+A fingerprint has 64 bits for each seed; two fingerprints link at ``max_bits`` or fewer differing
+bits. A Plan has shingle length, seeds and limit: CONTRACT is 3 words, 64 bits and 3 bits; SIMILAR,
+for deduplication, is 5 words and 128 bits, of which the limit allows what texts with four
+fifths of their shingles in common are expected to differ in.
+
+Pivot tables. REFERENCES random fingerprints are the pivots. For the fingerprints that may link,
+a table of their Hamming distances to all pivots is computed once. Distances obey the triangle
+inequality, so two fingerprints differ in at least their largest coordinate difference; pairs
+for which that exceeds the limit are discarded, and survivors are verified by their bits.
+
+Who may link. Distances to pivots of 64 random bits crowd around 32, so one coordinate parts only
+half of all pairs: pivots can discard pairs, but can't deal fingerprints out to tasks. Bits do
+that. Under CONTRACT 3 differing bits leave two of five bands alike: each distinct fingerprint is
+dealt out under every two bands (ten keys), and pairs are looked at inside a key only. A key with
+more than LIMIT fingerprints is cut finer by the same argument on its other bits, as often as
+needed: those are halved into four bands of which one must be alike, until few enough remain or
+so few bits that no more than LIMIT can differ. So no pair is lost and no group is large. Under
+SIMILAR the limit is too wide for that: keys are ``sample`` bits chosen at random, in ``tables``
+tables, so that a pair at the limit is missed in all of them with a probability of a few per
+cent, and a closer one with less; crowded keys are cut by more random bits in the same way.
 
 Copies have one fingerprint and are one class before any of this; links inside a key are reduced
 to a spanning forest; components are then found over classes.
@@ -25,6 +31,7 @@ table gives an empty result. Other columns are left alone.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -36,227 +43,332 @@ from pyspark.sql import functions as F
 from .common import Stages, extended
 from .graph import components
 
-SHINGLE = 3
 SEED = 42
-MAX_BITS = 3
 BANDS = 5
 REFERENCES = 16
 #: Fingerprints under one key that are compared in one go.
 LIMIT = 4096
+#: Pairs that are compared at once.
+AT_ONCE = 1 << 20
+#: A crowded key of a sampled table is cut by so many more bits, in so many tables.
+FINER_BITS, FINER_TABLES = 8, 8
 _EDGES = [64 * b // BANDS for b in range(BANDS + 1)]
-_ONES = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
 _MASK = (1 << 64) - 1
 
 
-def fingerprint(text: str | None) -> int:
-    """The fingerprint of one text, unsigned."""
+@dataclass(frozen=True)
+class Plan:
+    shingle: int = 3
+    seeds: tuple[int, ...] = (SEED,)
+    max_bits: int = 3
+    tables: int = 0  #: 0: keys that lose no pair, for 3 bits of 64; else so many tables of sampled bits
+    sample: int = 20
+    references: int = REFERENCES
+
+    @property
+    def width(self) -> int:
+        return len(self.seeds)
+
+    @property
+    def names(self) -> list[str]:
+        return [f"f{i}" for i in range(self.width)]
+
+
+CONTRACT = Plan()
+#: Texts of n shingles each that share s: cosine s/n, Jaccard s/(2n-s). At 0.8 the cosine is 8/9, so
+#: acos(8/9)/pi = 0.15 of all bits differ, 19.4 of 128, give or take 4.
+SIMILAR = Plan(5, (SEED, SEED + 1), 22, 64, 20, 4)
+
+
+def fingerprint(text: str | None, plan: Plan = CONTRACT) -> tuple[int, ...]:
+    """The fingerprint of one text, 64 bits for each seed, unsigned."""
     ws = (text or "").encode().lower().split()
     if not ws:
-        return 0
-    n = max(1, len(ws) - SHINGLE + 1)
-    counts = np.zeros(64, np.int64)
+        return (0,) * plan.width
+    k = plan.shingle
+    n = max(1, len(ws) - k + 1)
+    counts = np.zeros(64 * plan.width, np.int64)
     for lo in range(0, n, 1 << 14):  # bounded memory for a long text
-        hs = [xxhash.xxh64_intdigest(b" ".join(ws[i : i + SHINGLE]), SEED) for i in range(lo, min(n, lo + (1 << 14)))]
-        bits = np.unpackbits(np.array(hs, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        some = [b" ".join(ws[i : i + k]) for i in range(lo, min(n, lo + (1 << 14)))]
+        hs = np.array([[xxhash.xxh64_intdigest(x, seed) for x in some] for seed in plan.seeds], "<u8")
+        bits = np.unpackbits(np.ascontiguousarray(hs.T).view(np.uint8).reshape(len(some), -1), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
+    return tuple(np.packbits(counts * 2 > n, bitorder="little").view("<u8").tolist())
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "fp") -> DataFrame:
-    """docs with the fingerprint as a long, instead of text."""
+def with_fingerprint(docs: DataFrame, plan: Plan = CONTRACT, text: str = "text") -> DataFrame:
+    """docs with the fingerprint as longs f0, f1 ..., instead of text."""
     schema, at = docs.drop(text).schema, docs.columns.index(text)
     names = schema.names
 
     def run(batches):
         for batch in batches:
-            fps = pa.array([_signed(fingerprint(t.as_py())) for t in batch.column(at)], pa.int64())
-            yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(batch.columns) if i != at), fps], names=[*names, name])
-
-    return docs.mapInArrow(run, extended(schema, f"{name} long"))
+            fps = np.array([fingerprint(t.as_py(), plan) for t in batch.column(at)], np.uint64).reshape(-1, plan.width).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(batch.columns) if i != at), *(pa.array(np.ascontiguousarray(x)) for x in fps.T)], names=[*names, *plan.names])
 
+    return docs.mapInArrow(run, extended(schema, ", ".join(f"{x} long" for x in plan.names)))
 
-def _references(band: int, bits: int) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(f"reference {band} {r}", SEED) & ((1 << bits) - 1) for r in range(REFERENCES)], np.uint16)
 
-
-def _pivot_table(band: int, bits: int) -> np.ndarray:
-    """For each value of a band its distances to the band's references."""
-    return _ONES[np.arange(1 << bits, dtype=np.uint16)[:, None] ^ _references(band, bits)[None, :]].astype(np.int8)
+def distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints, one a row."""
+    return np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
 
 
 class Pivots:
-    def __init__(self):
-        self.tables = [_pivot_table(b, _EDGES[b + 1] - _EDGES[b]) for b in range(BANDS)]
-        #: a band's coordinates as one number
-        self.keys = [np.array([xxhash.xxh64_intdigest(row.tobytes(), b) for row in t], np.uint64) for b, t in enumerate(self.tables)]
-
-    def band(self, fps: np.ndarray, b: int) -> np.ndarray:
-        lo, hi = _EDGES[b], _EDGES[b + 1]
-        return ((fps >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1)).astype(np.int64)
-
-    def bound(self, x: np.ndarray, y: np.ndarray, enough: int) -> np.ndarray:
-        """Which pairs the coordinates can't discard; bands in turn, on what is left."""
-        left, low = np.arange(len(x)), np.zeros(len(x), np.int64)
-        for b, t in enumerate(self.tables):
-            low = low + np.abs(t[self.band(x[left], b)] - t[self.band(y[left], b)]).max(axis=1)
-            keep = low <= enough
-            left, low = left[keep], low[keep]
+    """Reference fingerprints, and the table of distances to them."""
+
+    def __init__(self, plan: Plan):
+        self.references = np.array(
+            [[xxhash.xxh64_intdigest(f"reference {r} {w}", SEED) for w in range(plan.width)] for r in range(plan.references)], np.uint64
+        )
+
+    def table(self, fps: np.ndarray) -> np.ndarray:
+        """(reference, fingerprint): Hamming distances."""
+        return np.stack([distance(fps, r[None, :]) for r in self.references]).astype(np.int16)
+
+    @staticmethod
+    def left(table: np.ndarray, a: np.ndarray, b: np.ndarray, enough: int) -> np.ndarray:
+        """Which pairs the coordinates can't discard; pivots in turn, on what is left."""
+        left = np.arange(len(a))
+        for row in table:
+            left = left[np.abs(row[a[left]] - row[b[left]]) <= enough]
         return left
 
 
-_pivots: list[Pivots] = []
-
+_pivots: dict[Plan, Pivots] = {}
 
-def pivots() -> Pivots:
-    if not _pivots:
-        _pivots.append(Pivots())
-    return _pivots[0]
 
-
-def distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    d = np.ascontiguousarray(x ^ y)
-    return _ONES[d.view(np.uint16).reshape(-1, 4)].sum(axis=1)
+def pivots(plan: Plan) -> Pivots:
+    if plan not in _pivots:
+        _pivots[plan] = Pivots(plan)
+    return _pivots[plan]
 
 
-def _find(parent: np.ndarray, i: int) -> int:
+def _find(parent: list[int], i: int) -> int:
     while parent[i] != i:
         parent[i] = parent[parent[i]]
         i = parent[i]
     return i
 
 
-def linked(fps: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest (pairs of places) of the links among distinct fingerprints."""
-    n, parent, out = len(fps), np.arange(len(fps)), []
-    step = max(1, (1 << 20) // n)
-    for lo in range(0, n - 1, step):  # a bounded number of pairs at once
-        i = np.arange(lo, min(n - 1, lo + step))
+def linked(fps: np.ndarray, plan: Plan = CONTRACT) -> list[tuple[int, int]]:
+    """A spanning forest (pairs of places) of the links among distinct fingerprints, one a row."""
+    n, out = len(fps), []
+    table, parent, root = pivots(plan).table(fps), list(range(len(fps))), np.arange(len(fps))
+    lo, rows = 0, 1
+    while lo < n - 1:  # a bounded number of pairs at once, few at first: one row of a close group joins all of it
+        i = np.arange(lo, min(n - 1, lo + rows))
         counts = n - 1 - i
         a = np.repeat(i, counts)
         b = np.arange(len(a)) - np.repeat(np.cumsum(counts) - counts, counts) + a + 1
-        left = pivots().bound(fps[a], fps[b], MAX_BITS)
+        apart = root[a] != root[b]
+        a, b = a[apart], b[apart]
+        left = Pivots.left(table, a, b, plan.max_bits)
         a, b = a[left], b[left]
-        true = distance(fps[a], fps[b]) <= MAX_BITS
-        for x, y in zip(a[true].tolist(), b[true].tolist()):
+        true = distance(fps[a], fps[b]) <= plan.max_bits
+        a, b = a[true], b[true]
+        _, first = np.unique(root[a] * n + root[b], return_index=True)
+        for x, y in zip(a[first].tolist(), b[first].tolist()):
             p, q = _find(parent, x), _find(parent, y)
             if p != q:
                 parent[max(p, q)] = min(p, q)
                 out.append((x, y))
+        if len(first):
+            root = np.array(parent)
+            while (root[root] != root).any():
+                root = root[root]
+        lo, rows = lo + rows, min(max(1, AT_ONCE // n), rows * 2)
     return out
 
 
-def _keys(it):
-    """(fp) -> (key, rest, fp): rest has the bits on which the fingerprints of a key may differ."""
-    p = pivots()
-    for batch in it:
-        fps = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        own = [p.keys[b][p.band(fps, b)] for b in range(BANDS)]
-        for k, (a, b) in enumerate(combinations(range(BANDS), 2)):
-            rest = _MASK
-            for x in (a, b):
-                rest &= ~(((1 << (_EDGES[x + 1] - _EDGES[x])) - 1) << _EDGES[x])
-            with np.errstate(over="ignore"):
-                key = (own[a] * np.uint64(31) + own[b]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k)
-            n = len(fps)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(n, _signed(rest))), pa.array(fps.view(np.int64))], names=["key", "rest", "fp"])
-
-
-def _finer(it):
-    """The same for the rows of a key with too many: four bands of the other bits, one of them alike."""
-    for batch in it:
-        for key, rest, fp in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            bits = [i for i in range(64) if rest >> i & 1]
-            out = []
-            for k in range(MAX_BITS + 1):
-                own = bits[len(bits) * k // (MAX_BITS + 1) : len(bits) * (k + 1) // (MAX_BITS + 1)]
-                mask = sum(1 << i for i in own)
-                new = xxhash.xxh64_intdigest(f"{key} {k} {fp & mask}")
-                out.append((_signed(new), _signed(rest & _MASK & ~mask), fp))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["key", "rest", "fp"])
-
-
-def _pairs(it):
-    """Rows sorted by key -> links. Only the rows of one key, LIMIT at most, are held."""
-    at, held = None, []
-
-    def close():
-        if sum(map(len, held)) < 2:
-            return
-        fps = np.unique(np.concatenate(held))
-        if len(fps) > 1 and (found := linked(fps)):
-            u, v = (fps[list(x)].view(np.int64) for x in zip(*found))
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
-
-    for batch in it:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(0).to_numpy(zero_copy_only=False)
-        fps = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-        cuts = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
-        alone = np.diff(cuts) == 1
-        for j in range(len(cuts) - 1):
-            a, b = cuts[j], cuts[j + 1]
-            if keys[a] != at:
-                yield from close()
-                at, held = keys[a], []
-            elif alone[j] and not held:
-                continue
-            held.append(fps[a:b])
-    yield from close()
+def _rows(fps: np.ndarray, key: np.ndarray, rest: int) -> pa.RecordBatch:
+    names = ["key", "rest", *(f"f{i}" for i in range(fps.shape[1]))]
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(fps), rest)), *(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in fps.T)], names=names)
+
+
+def _matrix(batch: pa.RecordBatch, first: int) -> np.ndarray:
+    return np.stack([c.to_numpy(zero_copy_only=False).view(np.uint64) for c in batch.columns[first:]], axis=1)
+
+
+def _hashed(values: np.ndarray, salt: int) -> np.ndarray:
+    x = values * np.uint64(0x9E3779B97F4A7C15) + np.uint64((salt * 0xD6E8FEB86659FD93) & _MASK)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(29))
+
+
+def _chosen(plan: Plan, salt: str, n: int) -> np.ndarray:
+    """n of the fingerprint's bits, at random."""
+    order = sorted(range(64 * plan.width), key=lambda i: xxhash.xxh64_intdigest(f"{salt} {i}", SEED))
+    return np.array(sorted(order[:n]))
+
+
+def _sampled(fps: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(fps), np.uint64)
+    for k, i in enumerate(bits.tolist()):
+        out |= ((fps[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)) << np.uint64(k)
+    return out
 
 
-def fingerprint_links(distinct: DataFrame, stages: Stages) -> DataFrame:
-    """(u, v): links that connect what the links at MAX_BITS connect; distinct has a column fp."""
-    schema = "key long, rest long, fp long"
-    keyed = stages.keep(distinct.select("fp").mapInArrow(_keys, schema), "keys")
+def _keys(plan: Plan):
+    """(f0 ...) -> (key, rest, f0 ...): rest has the bits on which the fingerprints of a key may differ (0: not told)."""
+
+    def exact(it):
+        for batch in it:
+            fps = _matrix(batch, 0)
+            for k, (a, b) in enumerate(combinations(range(BANDS), 2)):
+                own = sum(((1 << (_EDGES[x + 1] - _EDGES[x])) - 1) << _EDGES[x] for x in (a, b))
+                yield _rows(fps, _hashed(fps[:, 0] & np.uint64(own), k), _signed(_MASK & ~own))
+
+    def sampled(it):
+        tables = [_chosen(plan, f"table {t}", plan.sample) for t in range(plan.tables)]
+        for batch in it:
+            fps = _matrix(batch, 0)
+            for t, bits in enumerate(tables):
+                yield _rows(fps, _hashed(_sampled(fps, bits), t), 0)
+
+    return sampled if plan.tables else exact
+
+
+def _finer(plan: Plan, level: int):
+    """The same for the rows of a key with too many."""
+
+    def exact(it):
+        """Four bands of the other bits, one of them alike."""
+        n = plan.max_bits + 1
+        for batch in it:
+            for key, rest, fp in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                bits = [i for i in range(64) if rest >> i & 1]
+                out = []
+                for k in range(n):
+                    mask = sum(1 << i for i in bits[len(bits) * k // n : len(bits) * (k + 1) // n])
+                    out.append((_signed(xxhash.xxh64_intdigest(f"{key} {k} {fp & mask}")), _signed(rest & _MASK & ~mask), fp))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["key", "rest", "f0"])
+
+    def sampled(it):
+        for batch in it:
+            fps, key = _matrix(batch, 2), batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            for t in range(FINER_TABLES):
+                bits = _chosen(plan, f"finer {level} {t}", FINER_BITS)
+                yield _rows(fps, _hashed(key ^ _hashed(_sampled(fps, bits), t + 1), level), 0)
+
+    return sampled if plan.tables else exact
+
+
+def _node(fps: np.ndarray) -> np.ndarray:
+    """A fingerprint as one long: itself, or a hash of more than one."""
+    return (fps[:, 0] if fps.shape[1] == 1 else _hashed(_hashed(fps[:, 0], 1) ^ fps[:, 1], 2)).view(np.int64)
+
+
+def _pairs(plan: Plan):
+    """Rows (key, f0 ...) sorted by key -> links (u, v) of nodes. Only the rows of one key are held."""
+
+    def run(it):
+        at, held = None, []
+
+        def close():
+            if sum(map(len, held)) < 2:
+                return
+            fps = np.unique(np.concatenate(held), axis=0)
+            if len(fps) > 1 and (found := linked(fps, plan)):
+                u, v = (_node(fps[list(x)]) for x in zip(*found))
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+        for batch in it:
+            if not batch.num_rows:
+                continue
+            keys, fps = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch, 1)
+            cuts = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
+            some = np.flatnonzero(np.diff(cuts) > 1).tolist()
+            for j in sorted({0, len(cuts) - 2, *some}):  # a key with one row is met only at a batch's ends
+                a, b = cuts[j], cuts[j + 1]
+                if keys[a] != at:
+                    yield from close()
+                    at, held = keys[a], []
+                held.append(fps[a:b])
+        yield from close()
+
+    return run
+
+
+def fingerprint_links(distinct: DataFrame, stages: Stages, plan: Plan = CONTRACT) -> DataFrame:
+    """(u, v): links of nodes that connect what the links at max_bits connect; distinct has f0 ..."""
+    schema = "key long, rest long, " + ", ".join(f"{x} long" for x in plan.names)
+    keyed = stages.keep(distinct.select(*plan.names).mapInArrow(_keys(plan), schema), "keys")
     small, level, drop = [], 0, ["keys"]
     while True:
         sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first("rest").alias("r")).where("n > 1")
         # with few bits left no more than LIMIT fingerprints can differ, whatever the count
-        many = stages.keep(sizes.where((F.col("n") > LIMIT) & (F.bit_count("r") > 12)).select("key"), f"many-{level}")
+        crowded = (F.col("n") > LIMIT) & (F.lit(level < 4) if plan.tables else F.bit_count("r") > 12)
+        many = stages.keep(sizes.where(crowded).select("key"), f"many-{level}")
         if many.isEmpty():
             small.append(keyed)
             break
         small.append(keyed.join(many, "key", "left_anti"))
         level += 1
-        keyed = stages.keep(keyed.join(many, "key", "left_semi").mapInArrow(_finer, schema), f"keys-{level}")
+        keyed = stages.keep(keyed.join(many, "key", "left_semi").mapInArrow(_finer(plan, level), schema), f"keys-{level}")
         drop.append(f"keys-{level}")
     rows = small[0]
     for more in small[1:]:
         rows = rows.unionByName(more)
     n = max(1, int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    links = rows.select("key", "fp").repartition(n, "key").sortWithinPartitions("key").mapInArrow(_pairs, "u long, v long")
+    links = rows.select("key", *plan.names).repartition(n, "key").sortWithinPartitions("key").mapInArrow(_pairs(plan), "u long, v long")
     out = stages.keep(links.distinct(), "links")
     stages.drop(*drop, *(f"many-{i}" for i in range(level + 1)))
     return out
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp, component_id) for each row of docs."""
+def _named(nodes):
+    """(f0 ...) -> (f0 ..., node)."""
+    for batch in nodes:
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_node(_matrix(batch, 0)))], names=[*batch.schema.names, "node"])
+
+
+def _grouped(docs: DataFrame, stages: Stages, plan: Plan) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, th, f0 ...) for each row of (doc_id, text), and (c_f0 ..., root) for each distinct fingerprint."""
+    own = stages.keep(with_fingerprint(docs.select("doc_id", F.xxhash64("text").alias("th"), "text"), plan), "fingerprints")
+    classes = own.select(*plan.names).distinct()
+    classes = stages.keep(classes.withColumn("node", F.col("f0")) if plan.width == 1 else classes.mapInArrow(_named, ", ".join(f"{x} long" for x in [*plan.names, "node"])), "classes")
+    roots = components(fingerprint_links(classes, stages, plan), stages).withColumnRenamed("node", "r_node")
+    rooted = classes.join(roots, F.col("node") == F.col("r_node"), "left")
+    return own, rooted.select(*(F.col(x).alias(f"c_{x}") for x in plan.names), F.coalesce("root", "node").alias("root"))
+
+
+def _with_root(own: DataFrame, rooted: DataFrame, plan: Plan) -> DataFrame:
+    on = F.lit(True)
+    for x in plan.names:
+        on = on & (F.col(x) == F.col(f"c_{x}"))
+    return own.join(rooted, on)
+
+
+def near_duplicates(docs: DataFrame, plan: Plan = CONTRACT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, f0 ..., component_id) for each row of docs."""
     stages = Stages(docs.sparkSession)
-    own = stages.keep(with_fingerprint(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))), "fingerprints")
-    classes = stages.keep(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = components(fingerprint_links(classes, stages), stages)
-    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    # only the classes of links take part here; a component is a few of them
-    ids = rooted.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component_id"))
-    named = stages.keep(rooted.join(ids, rooted["root"] == ids["r"]).select(F.col("fp").alias("c_fp"), "component_id"), "components")
-    return own.join(named, own["fp"] == named["c_fp"]).select("doc_id", "fp", "component_id")
+    own, rooted = _grouped(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), stages, plan)
+    rooted = stages.keep(rooted, "rooted")
+    least = own.groupBy(*plan.names).agg(F.min("doc_id").alias("least"))  # combined before the shuffle
+    ids = _with_root(least, rooted, plan).groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component_id"))
+    named = rooted.join(ids, F.col("root") == F.col("r")).drop("root", "r")
+    return _with_root(own, stages.keep(named, "components"), plan).select("doc_id", *plan.names, "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The row of each component with its least doc_id; rows without a doc_id stay.
+def keep_one(docs: DataFrame, plan: Plan = SIMILAR) -> DataFrame:
+    """Of each component the row with the least (doc_id, hash of the text); rows without a doc_id stay.
 
-    Of rows that share that doc_id one stays.
+    Of rows alike in both one stays.
     """
-    keep = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    found = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi")
-    return found.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null")).select(*(F.col(f"`{c}`") for c in docs.columns))
+    stages = Stages(docs.sparkSession)
+    own, rooted = _grouped(docs.select("doc_id", "text"), stages, plan)
+    kept = _with_root(own.where("doc_id is not null"), rooted, plan).groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("one"))
+    kept = stages.keep(kept.select(F.col("one.doc_id").alias("simhash_id"), F.col("one.th").alias("simhash_th")), "kept")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.where("doc_id is not null").select(F.struct(*columns).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"))
+    found = rows.join(kept, (F.col("id") == F.col("simhash_id")) & (F.col("th") == F.col("simhash_th")), "left_semi").dropDuplicates(["id", "th"])
+    return found.select("row.*").unionByName(docs.where("doc_id is null"))
 
 
 def op9_query(docs: DataFrame) -> DataFrame:
-    return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
