@@ -18,8 +18,9 @@ more than LIMIT fingerprints is cut finer by the same argument on its other bits
 needed: those are halved into four bands of which one must be alike, until few enough remain or
 so few bits that no more than LIMIT can differ. So no pair is lost and no group is large. Under
 SIMILAR the limit is too wide for that: keys are ``sample`` bits chosen at random, in ``tables``
-tables, so that a pair at the limit is missed in all of them with a probability of a few per
-cent, and a closer one with less; crowded keys are cut by more random bits in the same way.
+tables, so that a pair at the limit is missed in all of them with a probability of 4 per cent,
+one at the similarity of 0.8 with 0.7 and a closer one with less; crowded keys are cut by more
+random bits in the same way. At so wide a limit pivots discard few pairs, and bits decide.
 
 Copies have one fingerprint and are one class before any of this; links inside a key are reduced
 to a spanning forest; components are then found over classes.
@@ -46,7 +47,7 @@ from .graph import components
 SEED = 42
 BANDS = 5
 REFERENCES = 16
-#: Fingerprints under one key that are compared in one go.
+#: Fingerprints under one key that are compared in one go, AT_ONCE pairs at a time.
 LIMIT = 4096
 #: Pairs that are compared at once.
 AT_ONCE = 1 << 20
@@ -62,8 +63,9 @@ class Plan:
     seeds: tuple[int, ...] = (SEED,)
     max_bits: int = 3
     tables: int = 0  #: 0: keys that lose no pair, for 3 bits of 64; else so many tables of sampled bits
-    sample: int = 20
+    sample: int = 16
     references: int = REFERENCES
+    limit: int | None = None  #: fingerprints under one key that are compared in one go; LIMIT if not given
 
     @property
     def width(self) -> int:
@@ -76,8 +78,9 @@ class Plan:
 
 CONTRACT = Plan()
 #: Texts of n shingles each that share s: cosine s/n, Jaccard s/(2n-s). At 0.8 the cosine is 8/9, so
-#: acos(8/9)/pi = 0.15 of all bits differ, 19.4 of 128, give or take 4.
-SIMILAR = Plan(5, (SEED, SEED + 1), 22, 64, 20, 4)
+#: acos(8/9)/pi = 0.15 of all bits differ, 19.4 of 128, give or take 4. So similarity is judged by an
+#: estimate: pairs of 0.9 or more all but always link, of 0.5 or less all but never.
+SIMILAR = Plan(5, (SEED, SEED + 1), 22, 64, 16, 2, 1 << 16)
 
 
 def fingerprint(text: str | None, plan: Plan = CONTRACT) -> tuple[int, ...]:
@@ -302,7 +305,7 @@ def fingerprint_links(distinct: DataFrame, stages: Stages, plan: Plan = CONTRACT
     while True:
         sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first("rest").alias("r")).where("n > 1")
         # with few bits left no more than LIMIT fingerprints can differ, whatever the count
-        crowded = (F.col("n") > LIMIT) & (F.lit(level < 4) if plan.tables else F.bit_count("r") > 12)
+        crowded = (F.col("n") > (plan.limit or LIMIT)) & (F.lit(level < 4) if plan.tables else F.bit_count("r") > 12)
         many = stages.keep(sizes.where(crowded).select("key"), f"many-{level}")
         if many.isEmpty():
             small.append(keyed)
