@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 from contrail.llm import quality as Q
+from contrail.llm.common import Stages
 
 SCHEMA = "doc_id long, text string, source string, q_words string"
 
@@ -27,12 +28,16 @@ def brute(docs, max_rate=0.5):
             hosts[source].append((failed, 10 * symbols > chars, 10 * dup > len(ws)))
     bad = set()
     for k in range(3):
-        rates = {h: sum(x[k] for x in v) / len(v) for h, v in hosts.items()}
-        if rates:
-            m = sum(rates.values()) / len(rates)
-            var = sum((x - m) ** 2 for x in rates.values()) / len(rates)
-            s = m * (1 - m) / var - 1 if var > 1e-12 and m * (1 - m) > var else 1.0
-            bad |= {h for h, v in hosts.items() if (sum(x[k] for x in v) + m * s) / (len(v) + s) > max_rate}
+        if hosts:
+            k_, n_ = {h: sum(x[k] for x in v) for h, v in hosts.items()}, {h: len(v) for h, v in hosts.items()}
+            total, groups = sum(n_.values()), len(hosts)
+            m = sum(k_.values()) / total
+            s = 1.0
+            if m * (1 - m) * (total - sum(n * n for n in n_.values()) / total - (groups - 1)) > 1e-9:
+                between = sum(n_[h] * (k_[h] / n_[h] - m) ** 2 for h in hosts) - (groups - 1) * m * (1 - m)
+                rho = between / (m * (1 - m) * (total - sum(n * n for n in n_.values()) / total - (groups - 1)))
+                s = 1 / min(max(rho, 1e-6), 1 - 1e-6) - 1
+            bad |= {h for h in hosts if (k_[h] + m * s) / (n_[h] + s) > max_rate}
     return sorted((*r[:7], not r[6] and r[7] not in bad) for r in rows) if all(r[0] is not None for r in rows) else sorted(((*r[:7], not r[6] and r[7] not in bad) for r in rows), key=str)
 
 
@@ -66,6 +71,23 @@ def test_filter_keeps_columns_and_rows(spark):
     assert kept.columns == ["doc_id", "text", "source", "q_words"] and kept.count() == sum(w[7] for w in brute(docs))
 
 
+def test_names_of_its_own_are_left_alone(spark):
+    schema = "doc_id long, text string, source string, q_words long, q string, host long, row string, kept string"
+    rows = [(1, " ".join(map(str, range(60))), "s", -7, "q", 3, "r", "k"), (2, "short", "s", 1, "q", 3, "r", "k")]
+    kept = Q.quality_filter(spark.createDataFrame(rows, schema)).collect()
+    assert [tuple(x) for x in kept] == [rows[0]]
+
+
+def test_small_hosts_are_shrunk(spark):
+    """A host of two failures among good hosts stays; one of two hundred goes."""
+    good = " ".join(f"w{i}" for i in range(30))
+    docs = [(i, good, f"h{i % 20}", "q") for i in range(2000)] + [(5000 + i, "few words", "big", "q") for i in range(200)] + [(6000 + i, good if i else "few", "two", "q") for i in range(3)]
+    df = spark.createDataFrame(docs, SCHEMA)
+    stages = Stages(spark)
+    got = {x["host"]: x for x in Q.host_verdicts(Q.measured(df, stages, ["doc_id"]), stages).collect()}
+    assert not got["big"]["host_ok"] and got["two"]["host_ok"] and got["two"]["rate_base"] < 1 / 3 + 0.05 and got["h0"]["rate_base"] < 0.02
+
+
 def test_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert Q.op8_query(spark, empty).collect() == [] and Q.quality_filter(empty).collect() == []
