@@ -8,30 +8,34 @@ from pyspark.sql import functions as F
 from ..functions import blank_to_null, iso_time, minutes, zero_to_null
 
 
-def _picked(left: DataFrame, right: DataFrame, on: Column, order: Column, key: list[str], name: str) -> DataFrame:
-    """left with the struct ``name`` of the first matching row of right by ``order``, or NULL.
-
-    The pick is a min_by, so it is combined before the shuffle and never gathers the matches.
-    """
-    fields = F.struct(*(F.col(f"r.{c}") for c in right.columns))
-    joined = left.alias("l").join(right.alias("r"), on, "left").select("l.*", F.when(F.coalesce(*(F.col(f"r.{c}").isNotNull() for c in right.columns[:1])), fields).alias(name), order.alias("_order"))
-    others = [c for c in left.columns if c not in key]
-    return joined.groupBy(*key).agg(*(F.first(c).alias(c) for c in others), F.min_by(name, "_order").alias(name))
+def _first(rows: DataFrame, key: list[str], seq: str) -> DataFrame:
+    """key and a struct ``v`` of all columns, seq first: of each key the first row by seq."""
+    row = F.struct(seq, *(c for c in rows.columns if c != seq))
+    return rows.groupBy(*key).agg(F.min_by(row, seq).alias("v"))
 
 
-def match_schedules(flights: DataFrame, schedules: DataFrame, key: list[str], seq: str = "seq") -> DataFrame:
+def match_schedules(flights: DataFrame, schedules: DataFrame, seq: str = "seq") -> DataFrame:
     """flights with the struct ``schedule``: of the schedules of its callsign and day the first by tier.
 
     Tiers: both airports agree; the departure; the arrival; any. An unknown airport agrees with
-    none. Within a tier the order is ``seq``. key names the columns that identify a flight.
+    none. Within a tier the order is ``seq``. Schedules are reduced to one row a callsign and day
+    before they meet a flight, with the first schedule of each of its airport pairs in order, so
+    a flight is joined once and no group by flight follows.
     """
-    dep, arr = (blank_to_null(F.col(f"l.est_{x}_airport")) for x in ("departure", "arrival"))
-    same = lambda a, b: F.coalesce(a == F.col(b), F.lit(False))
-    d, a = same(dep, "r.departure_airport"), same(arr, "r.arrival_airport")
-    tier = F.when(d & a, 1).when(d, 2).when(a, 3).otherwise(4)
-    on = (F.col("l.callsign") == F.col("r.callsign")) & (F.col("l.flight_date") == F.col("r.flight_date"))
-    front = schedules.select(seq, *(c for c in schedules.columns if c != seq))
-    return _picked(flights, front, on, F.struct(tier, F.col(f"r.{seq}")), key, "schedule")
+    key = ["callsign", "flight_date"]
+    pairs = _first(schedules, [*key, "departure_airport", "arrival_airport"], seq)
+    days = pairs.groupBy(*(F.col(c).alias(f"_s_{c}") for c in key)).agg(F.array_sort(F.collect_list("v")).alias("_options"))
+    joined = flights.join(days, (F.col("callsign") == F.col("_s_callsign")) & (F.col("flight_date") == F.col("_s_flight_date")), "left")
+    dep, arr = (blank_to_null(F.col(f"est_{x}_airport")) for x in ("departure", "arrival"))
+    same = lambda a, b: F.coalesce(a == b, F.lit(False))
+    tiers = (
+        lambda s: same(dep, s["departure_airport"]) & same(arr, s["arrival_airport"]),
+        lambda s: same(dep, s["departure_airport"]),
+        lambda s: same(arr, s["arrival_airport"]),
+        lambda s: F.lit(True),
+    )
+    chosen = F.coalesce(*(F.get(F.filter("_options", t), F.lit(0)) for t in tiers))
+    return joined.withColumn("schedule", chosen).drop("_options", *(f"_s_{c}" for c in key))
 
 
 def delay_minutes(last_seen: Column, scheduled: Column, rounding=minutes) -> Column:
@@ -52,14 +56,22 @@ def weather_hours(weather: DataFrame, seq: str = "seq") -> DataFrame:
     return first.select("airport_code", "flight_date", "hour", "v.*")
 
 
-def match_weather(flights: DataFrame, hours: DataFrame, airport: str, hour: str, key: list[str], name: str, seq: str = "seq") -> DataFrame:
+def weather_days(hours: DataFrame, seq: str = "seq") -> DataFrame:
+    """(airport_code, flight_date, by_hour, first): a day's hours as a map, and its first row by seq."""
+    row = F.struct(seq, *(c for c in hours.columns if c != seq))
+    by_hour = F.map_from_entries(F.filter(F.collect_list(F.struct(F.col("hour").alias("key"), row.alias("value"))), lambda e: e["key"].isNotNull()))
+    return hours.groupBy("airport_code", "flight_date").agg(by_hour.alias("by_hour"), F.min_by(row, seq).alias("first"))
+
+
+def match_weather(flights: DataFrame, days: DataFrame, airport: str, hour: str, name: str) -> DataFrame:
     """flights with the struct ``name``: the airport's weather at that hour, else the first of the day.
 
-    A NULL hour of the flight counts as 0.
+    days has one row a key, so this is a lookup. A NULL hour of the flight counts as 0.
     """
-    on = (F.col(f"l.{airport}") == F.col("r.airport_code")) & (F.col("l.flight_date") == F.col("r.flight_date"))
-    other = ~F.coalesce(F.col("r.hour") == F.coalesce(F.col(f"l.{hour}"), F.lit(0)), F.lit(False))
-    return _picked(flights, hours.select(seq, *(c for c in hours.columns if c != seq)), on, F.struct(other, F.col(f"r.{seq}")), key, name)
+    d = days.select(F.col("airport_code").alias("_w_airport"), F.col("flight_date").alias("_w_date"), F.col("by_hour").alias("_by_hour"), F.col("first").alias("_first"))
+    joined = flights.join(d, (F.col(airport) == F.col("_w_airport")) & (F.col("flight_date") == F.col("_w_date")), "left")
+    chosen = F.coalesce(F.try_element_at("_by_hour", F.coalesce(F.col(hour), F.lit(0)).cast("int")), F.col("_first"))
+    return joined.withColumn(name, chosen).drop("_w_airport", "_w_date", "_by_hour", "_first")
 
 
 def with_lookup(left: DataFrame, table: DataFrame, on: dict[str, str], values: dict[str, str], default=None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import blank_to_null, iso_weekday, minutes, real_date, years, zero_to_null
-from ..operators.match import match_schedules, match_weather, route_traffic, weather_hours, with_lookup
+from ..operators.match import match_schedules, match_weather, route_traffic, weather_days, weather_hours, with_lookup
 from ..operators.upsert import first_by
 
 #: What identifies a flight here.
@@ -51,12 +51,11 @@ def feature_store(t: Tables, grain: str = "aircraft_day", rounding=minutes) -> D
         "airborne_minutes": rounding(F.col("first_seen"), F.col("last_seen")),
         "departure_hour": F.hour("first_seen"), "day_of_week": iso_weekday(F.col("flight_date")), "month": F.month("flight_date"),
         "_icao": F.lower("icao24"), "_dep": F.coalesce("est_departure_airport", F.lit("")), "_arr": F.coalesce("est_arrival_airport", F.lit("")),
-        "_id": F.sha2(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in FLIGHT)), 256),
     })
-    f = match_schedules(f, t.schedules, ["_id"])
-    hours = weather_hours(t.weather)
-    f = match_weather(f, hours, "_dep", "departure_hour", ["_id"], "dep_weather")
-    f = match_weather(f, hours, "_arr", "departure_hour", ["_id"], "arr_weather")
+    f = match_schedules(f, t.schedules)
+    days = weather_days(weather_hours(t.weather))
+    f = match_weather(f, days, "_dep", "departure_hour", "dep_weather")
+    f = match_weather(f, days, "_arr", "departure_hour", "arr_weather")
     names = {"typecode": "_type", "manufacturer": "_maker", "operator": "_operator", "first_flight_date": "_first_flight"}
     f = with_lookup(f, t.aircraft, {"_icao": "icao24"}, names)
     f = with_lookup(f, t.routes, {"_dep": "departure_airport", "_arr": "arrival_airport"}, {"flight_count": "_density"})

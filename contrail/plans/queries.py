@@ -231,7 +231,7 @@ def f14_box(spark, sf):
 
 @query("SELECT f.event_id, m.seq AS schedule_seq, m.source, m.tier, round(date_diff('second', m.arrival_scheduled, f.last_seen) / 60.0, 1) AS delay_minutes FROM flights f LEFT JOIN matched m USING (event_id)")
 def j1_schedule_match(spark, sf):
-    f = match.match_schedules(A.flights(spark, sf), A.schedules(spark, sf), ID)
+    f = match.match_schedules(A.flights(spark, sf), A.schedules(spark, sf))
     s = F.col("schedule")
     d, a = s["departure_airport"] == F.col("est_departure_airport"), s["arrival_airport"] == F.col("est_arrival_airport")
     tier = F.when(s.isNotNull(), F.when(d & a, 1).when(d, 2).when(a, 3).otherwise(4))
@@ -249,7 +249,7 @@ def j2_aircraft(spark, sf):
  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY (w.hour <> hour(first_seen))::INT, w.seq) = 1""")
 def j3_weather(spark, sf):
     f = A.flights(spark, sf).withColumn("h", F.hour("first_seen"))
-    out = match.match_weather(f, match.weather_hours(A.weather(spark, sf)), "est_arrival_airport", "h", ID, "w")
+    out = match.match_weather(f, match.weather_days(match.weather_hours(A.weather(spark, sf))), "est_arrival_airport", "h", "w")
     return out.select("event_id", F.col("w.hour").alias("weather_hour"), F.col("w.temperature_2m").alias("temperature_2m"))
 
 

@@ -60,14 +60,14 @@ def test_schedule_tiers(spark, partitions):
         [(1, "C1", "Z", "Z"), (2, "C1", "Z", "Q"), (3, "C1", "P", "Z"), (4, "C1", "P", "Q"), (5, "C1", "P", "Q"), (6, "C2", "", ""), (7, "C2", "P", "Q"), (8, "C3", "Z", "Q"), (9, "C3", "P", None)],
         "seq int, callsign string, departure_airport string, arrival_airport string",
     ).withColumn("flight_date", F.to_date(F.lit("2026-06-12"))).repartition(partitions)
-    got = {r["icao24"]: r["schedule"]["seq"] if r["schedule"] else None for r in match.match_schedules(f, s, ["icao24"]).collect()}
+    got = {r["icao24"]: r["schedule"]["seq"] if r["schedule"] else None for r in match.match_schedules(f, s).collect()}
     assert got == {"a": 4, "b": 6, "c": 9, "d": None}
 
 
 def test_weather_is_exact_or_first(spark):
     f = flights(spark, [("a", "x", at(5), at(6), "P", "Q"), ("b", "x", at(7), at(8), "P", "Q"), ("c", "x", None, None, "P", "Q")]).withColumn("flight_date", F.to_date(F.lit("2026-06-12"))).withColumn("h", F.hour("first_seen"))
     w = spark.createDataFrame([(1, "P", "2026-06-12T03:00", 3.0), (2, "P", "2026-06-12T05:00", 5.0), (3, "P", "2026-06-12T05:30", 9.0), (4, "P", "2026-06-12T00:00", 0.0), (5, "P", "bad", 7.0)], "seq int, airport_code string, timestamp string, temperature_2m double").withColumn("flight_date", F.to_date(F.lit("2026-06-12")))
-    out = match.match_weather(f, match.weather_hours(w), "est_departure_airport", "h", ["icao24"], "w")
+    out = match.match_weather(f, match.weather_days(match.weather_hours(w)), "est_departure_airport", "h", "w")
     assert {r["icao24"]: r["w"]["temperature_2m"] for r in out.collect()} == {"a": 5.0, "b": 3.0, "c": 0.0}
 
 
