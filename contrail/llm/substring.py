@@ -11,7 +11,7 @@ with the runs of history, and becomes a run itself; once there are MAX_RUNS they
 into one. What a batch shares with history or within itself are the candidate grams.
 
 Verification. What a candidate gram stands for in a document is its context, the words from the
-first to the last of its windows. Contexts are compared by XXH3 with 128 bits over their words:
+first to the last of its windows. Contexts are compared by 96 bits of XXH3 over their words:
 where a smaller doc_id has the same context, all its windows go. Of each context only its first
 holder is left to settle, and only if the gram stands in other contexts too: its windows are
 compared by XXH3 with 128 bits over their words; the least doc_id that has one owns it. The
@@ -68,7 +68,7 @@ def _occurrences(batches):
             context, check = digests(buffer, starts[first], ends[last + WINDOW - 1], (at - first) * 100 + (last - first))
             places = [pa.array((first - ws.first[row]).astype(np.int32)), pa.array((last - first).astype(np.int8))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[at].view(np.int64)), pa.array(context), pa.array(check), own.column(0), own.column(1), *places], names=_OCC
+                [pa.array(grams[at].view(np.int64)), pa.array(context), pa.array(check.astype(np.int32)), own.column(0), own.column(1), *places], names=_OCC
             )
 
 
@@ -88,7 +88,7 @@ def _windows(batches):
             w1, w2 = digests(buffer, starts[windows], ends[windows + WINDOW - 1])
             ids = batch.column(0).take(pa.array(lo + np.repeat(row, n)))
             at = spread(np.zeros(len(n), np.int64), n - 1)
-            keys = [pa.array(np.repeat(x[a:b], n)) for x in (grams, contexts, checks)]
+            keys = [pa.array(np.repeat(x[a:b], n)) for x in (grams, contexts, checks.astype(np.int32))]
             yield pa.RecordBatch.from_arrays([pa.array(w1), pa.array(w2), ids, *keys, pa.array(at.astype(np.int32))], names=["w1", "w2", "doc_id", "gram", "context", "check", "at"])
 
 
@@ -169,7 +169,7 @@ def dedup(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """(doc_id, n_words, n_removed, text): text has the words that are left, joined by one space."""
     stages, docs = Stages(docs.sparkSession), _with_key(docs)
     some = docs.where("doc_id is not null")
-    occ = stages.keep(some.mapInArrow(_occurrences, "gram long, context long, check long, doc_id long, th long, first int, more byte"), "occ")
+    occ = stages.keep(some.mapInArrow(_occurrences, "gram long, context long, check int, doc_id long, th long, first int, more byte"), "occ")
     grams = _candidates(occ, stages, batches)
     hits = stages.keep(occ.join(grams.hint("merge"), "gram", "left_semi"), "hits")
     stages.drop("occ", "grams")
@@ -186,7 +186,7 @@ def dedup(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     asked = classes.join(crowds.hint("merge"), F.col("gram") == F.col("c_gram")).select("one.*", *key)
     asked = asked.groupBy(F.col("doc_id").alias("a_id"), F.col("th").alias("a_th")).agg(F.collect_list(F.struct("first", "more", *key)).alias("contexts"))
     once = some.join(asked.hint("merge"), (F.col("doc_id") == F.col("a_id")) & (F.col("th") == F.col("a_th"))).select("doc_id", "text", "contexts")
-    windows = stages.keep(once.mapInArrow(_windows, "w1 long, w2 long, doc_id long, gram long, context long, check long, at int"), "windows")
+    windows = stages.keep(once.mapInArrow(_windows, "w1 long, w2 long, doc_id long, gram long, context long, check int, at int"), "windows")
     owners = windows.groupBy(F.col("w1").alias("o1"), F.col("w2").alias("o2")).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     owned = windows.join(
         owners.where("lo < hi").hint("merge"), (F.col("w1") == F.col("o1")) & (F.col("w2") == F.col("o2")) & (F.col("lo") < F.col("doc_id"))
