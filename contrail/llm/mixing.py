@@ -131,7 +131,8 @@ def _dealt(counts: DataFrame, sources: DataFrame) -> DataFrame:
     quota = quota.withColumns({"over": F.greatest(F.col("drawn") - F.col("n_slots"), F.lit(0)), "under": F.greatest(F.col("n_slots") - F.col("drawn"), F.lit(0))})
     quota = quota.withColumns({"over_before": F.coalesce(F.sum("over").over(by_rank), F.lit(0)), "under_before": F.coalesce(F.sum("under").over(by_rank), F.lit(0))})
     q = quota.select(F.col("rank").alias("q_rank"), "n_slots", "over_before")
-    drawn = began.join(q, F.col("rank") == F.col("q_rank")).withColumn("slot", F.explode(F.sequence("lo", F.col("lo") + F.col("n") - 1)))
+    n_tasks = max(1, int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # a number, or the few small rows meet in one task
+    drawn = began.join(q, F.col("rank") == F.col("q_rank")).repartition(n_tasks, "shard").withColumn("slot", F.explode(F.sequence("lo", F.col("lo") + F.col("n") - 1)))
     spare = drawn.where("slot >= n_slots").select("shard", (F.col("over_before") + F.col("slot") - F.col("n_slots")).alias("d"))
     wanted = quota.where("under > 0").select(F.col("rank").alias("w_rank"), "drawn", "under_before", F.explode(F.sequence("under_before", F.col("under_before") + F.col("under") - 1)).alias("w_d"))
     moved = spare.join(wanted, F.col("d") == F.col("w_d")).select("shard", F.col("w_rank").alias("rank"), (F.col("drawn") + F.col("w_d") - F.col("under_before")).alias("slot"))
