@@ -51,6 +51,8 @@ REFERENCES = 16
 LIMIT = 4096
 #: Pairs that are compared at once.
 AT_ONCE = 1 << 20
+#: Rows of a key up to which all its pairs are compared together with those of other keys.
+FEW = 16
 #: A crowded key of a sampled table is cut by so many more bits, in so many tables.
 FINER_BITS, FINER_TABLES = 8, 8
 _EDGES = [64 * b // BANDS for b in range(BANDS + 1)]
@@ -266,33 +268,55 @@ def _node(fps: np.ndarray) -> np.ndarray:
     return (fps[:, 0] if fps.shape[1] == 1 else _hashed(_hashed(fps[:, 0], 1) ^ fps[:, 1], 2)).view(np.int64)
 
 
+def _links(keys: np.ndarray, fps: np.ndarray, plan: Plan):
+    """Links (as two arrays of nodes) among the rows of each key; keys are sorted.
+
+    Keys with few rows, the most by far, are compared all at once, a distance of places at a time.
+    """
+    cuts = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
+    sizes = np.diff(cuts)
+    few = np.repeat((sizes > 1) & (sizes <= FEW), sizes)
+    at = np.flatnonzero(few)
+    if len(at):
+        keys_few, some = keys[at], fps[at]
+        table = pivots(plan).table(some)
+        for step in range(1, FEW):
+            a = np.flatnonzero(keys_few[step:] == keys_few[:-step])
+            if not len(a):
+                break
+            left = Pivots.left(table, a, a + step, plan.max_bits)
+            a = a[left]
+            a = a[distance(some[a], some[a + step]) <= plan.max_bits]
+            if len(a):
+                yield _node(some[a]), _node(some[a + step])
+    for j in np.flatnonzero(sizes > FEW).tolist():
+        own = fps[cuts[j] : cuts[j + 1]]
+        if found := linked(own, plan):
+            u, v = (_node(own[list(x)]) for x in zip(*found))
+            yield u, v
+
+
 def _pairs(plan: Plan):
-    """Rows (key, f0 ...) sorted by key -> links (u, v) of nodes. Only the rows of one key are held."""
+    """Rows (key, f0 ...) sorted by key -> links (u, v) of nodes. Rows of a key that may go on are held."""
 
     def run(it):
-        at, held = None, []
+        keys, fps = np.zeros(0, np.int64), np.zeros((0, plan.width), np.uint64)
 
-        def close():
-            if sum(map(len, held)) < 2:
-                return
-            fps = np.unique(np.concatenate(held), axis=0)
-            if len(fps) > 1 and (found := linked(fps, plan)):
-                u, v = (_node(fps[list(x)]) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+        def batch_of(u, v):
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
         for batch in it:
             if not batch.num_rows:
                 continue
-            keys, fps = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch, 1)
-            cuts = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
-            some = np.flatnonzero(np.diff(cuts) > 1).tolist()
-            for j in sorted({0, len(cuts) - 2, *some}):  # a key with one row is met only at a batch's ends
-                a, b = cuts[j], cuts[j + 1]
-                if keys[a] != at:
-                    yield from close()
-                    at, held = keys[a], []
-                held.append(fps[a:b])
-        yield from close()
+            keys = np.concatenate((keys, batch.column(0).to_numpy(zero_copy_only=False)))
+            fps = np.concatenate((fps, _matrix(batch, 1)))
+            whole = int(np.searchsorted(keys, keys[-1], "left"))
+            for u, v in _links(keys[:whole], fps[:whole], plan):
+                yield batch_of(u, v)
+            keys, fps = keys[whole:], fps[whole:]
+        if len(keys) > 1:
+            for u, v in _links(keys, fps, plan):
+                yield batch_of(u, v)
 
     return run
 
