@@ -26,11 +26,12 @@ def plain(text):
     return re.sub(r"[\W\d_]+", " ", (text or "").lower())
 
 
-@pytest.mark.parametrize("block, at_once", [(L.BLOCK, L.AT_ONCE), (7, 1 << 20), (64, 256)])
-def test_phrases_against_search(monkeypatch, block, at_once):
+@pytest.mark.parametrize("block, at_once, tables", [(L.BLOCK, L.AT_ONCE, L.TABLES), (7, 1 << 20, 0), (64, 256, L.TABLES), (64, 256, 0)])
+def test_phrases_against_search(monkeypatch, block, at_once, tables):
     """Whatever the blocks, the phrases are those of one parse over the whole text."""
     monkeypatch.setattr(L, "BLOCK", block)
     monkeypatch.setattr(L, "AT_ONCE", at_once)
+    monkeypatch.setattr(L, "TABLES", tables)
     r = random.Random(7)
     known = {"x": ["".join(r.choices("abc ", k=n)) for n in (300, 5, 300)], "y": ["".join(r.choices("abde ", k=500))], "z": ["q"]}
     m = L.Model(tuple((k, t) for k, ts in known.items() for t in ts))
@@ -51,6 +52,7 @@ def test_many_languages_and_a_large_alphabet():
     text = lambda lang, n: " ".join(r.choices(words[lang], k=n))
     m = L.Model(tuple((lang, text(lang, 2500)) for lang in words for _ in range(3)))
     assert sum(x.nbytes for a in m.automata for x in (a.symbol, a.to, a.keys, a.others, a.start, a.codes)) < 60e6
+    assert sum(a.table.nbytes for a in m.automata if a.table is not None) <= L.TABLES
     asked = [(lang, text(lang, 60)) for lang in words]
     bits = m.entropies([L.normal(t) for _, t in asked])
     assert [m.langs[k] for k in bits.argmin(axis=0)] == [lang for lang, _ in asked]
