@@ -46,7 +46,7 @@ from .textarrays import SLICE, Sums, anchors, byte_values, covered, digests, min
 LENGTH = 200
 GRAM = 32
 CHUNK = 20_000
-CROWD = 2_000
+CROWD = 20_000
 #: key groups the tuples (at first the gram); a string of a tuple begins lo .. length(left_bytes) before the anchor, rest at most;
 #: shift is how far the anchor lies left of the gram.
 _TUPLES = "key long, rest int, shift int, gram long, context long, check long, lo int, left_bytes binary, right_bytes binary"
