@@ -155,11 +155,12 @@ def op4_query(docs: DataFrame, items: DataFrame) -> DataFrame:
     return contained_items(docs.select("doc_id", "text"), items)
 
 
-OP4_SQL = r"""
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP4_SQL = rf"""
 WITH i AS (SELECT row_number() OVER () AS iid, item_id,
-                  list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM benchmark),
+                  list_filter(string_split_regex({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM benchmark),
 d AS (SELECT row_number() OVER () AS rid, doc_id,
-             list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+             list_filter(string_split_regex({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 si AS (SELECT DISTINCT iid, item_id, least(len(ws), 5) AS k, array_to_string(ws[p:p + least(len(ws), 5) - 1], ' ') AS s
        FROM i, unnest(range(1, len(ws) - least(len(ws), 5) + 2)) AS u(p) WHERE len(ws) > 0),
 ks AS (SELECT DISTINCT k FROM si),
