@@ -6,7 +6,8 @@ punctuation) discloses of an entity:
 
     disclosure(t, c) = PMI(t; c) / IC(c) = log2(N * n(t, c) / (n(t) * n(c))) / log2(N / n(c))
 
-n(c) counts the distinct contexts (CONTEXT words to either side) in which entity c stands,
+n(c) counts the distinct contexts (CONTEXT words to either side, as far as the next base match of
+the kind, however long the words and the space between them) in which entity c stands,
 n(t, c) those that have t, n(t) the distinct texts that have t, N the distinct texts. It is 1
 if t occurs with c only, and near 0 if t is as common elsewhere. A term with MIN_SUPPORT
 contexts or more of an entity and a disclosure of GENERALISE or more is a span of kind
@@ -19,7 +20,7 @@ them in a context: no more than n(t), so no term is lost.
 
 Defined results. A null text is empty and has no spans. Texts that repeat are counted once;
 each of their rows gets the same spans. A null doc_id is kept. An empty table gives an empty
-result. Other columns are left alone by sanitise() and not read by find().
+result. U+FFFF in a text is read as U+FFFE where contexts are cut. Other columns are left alone by sanitise() and not read by find().
 """
 
 from __future__ import annotations
@@ -48,7 +49,10 @@ PATTERNS = {
 #: A character that every match of the kind has.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
-_CUT = 160  #: characters of a side that are looked at for its words
+_KEPT = "\uffff"  #: stands for a base match where a text is cut at those
+#: The first CONTEXT words of a piece; possessive, so it never goes back.
+_FEW = rf"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){{0,{CONTEXT - 1}}}+[^\x20\x09-\x0D]*+"
+_PLACES = "array<struct<start:bigint,end:bigint,value:string>>"
 _SPAN = "array<struct<start:bigint,end:bigint,value:string,left:array<string>,right:array<string>>>"
 #: Common characters that aren't part of a term at its ends; nor is any but a letter or number.
 #: In a text of these, letters, numbers and white space only, no other character needs trimming.
@@ -75,39 +79,47 @@ def _holds(kind: str, m: Column) -> Column:
 
 
 def _side(piece: Column, left: bool) -> Column:
-    """Up to CONTEXT words next to a match; a word that the cut may have split is left out."""
+    """Up to CONTEXT words next to a match."""
     if left:
-        ws = words(F.right(piece, F.lit(_CUT)))
-        whole = F.when((F.length(piece) > _CUT) & (F.size(ws) > 0), F.slice(ws, F.lit(2), F.size(ws))).otherwise(ws)
-        return let(whole, lambda x: F.when(F.size(x) > CONTEXT, F.slice(x, -CONTEXT, CONTEXT)).otherwise(x))
-    ws = words(F.left(piece, F.lit(_CUT)))
-    whole = F.when((F.length(piece) > _CUT) & (F.size(ws) > 0), F.slice(ws, F.lit(1), F.size(ws) - 1)).otherwise(ws)
-    return let(whole, lambda x: F.slice(x, 1, CONTEXT))
-
-
-def _spans(text: Column, pattern: str, context: bool) -> Column:
-    """All matches with their places, in code points, and the words around them."""
-
-    def placed(ms: Column, ps: Column) -> Column:
-        steps = F.transform(ms, lambda m, i: F.length(F.get(ps, i)) + F.length(m))
-        return let(prefix_sums(steps), lambda before: F.transform(ms, lambda m, i: F.struct(
-            (F.get(before, i) + F.length(F.get(ps, i))).alias("start"),
-            (F.get(before, i) + F.length(F.get(ps, i)) + F.length(m)).alias("end"),
-            m.alias("value"),
-            (_side(F.get(ps, i), True) if context else F.array().cast("array<string>")).alias("left"),
-            (_side(F.get(ps, i + 1), False) if context else F.array().cast("array<string>")).alias("right"),
-        )))
+        return words(F.reverse(F.regexp_extract(F.reverse(piece), _FEW, 0)))
+    return words(F.regexp_extract(piece, _FEW, 0))
+
 
-    def found(ms: Column) -> Column:
-        return F.when(F.size(ms) > 0, let(F.split(text, pattern), lambda ps: placed(ms, ps))).otherwise(F.array().cast(_SPAN))
+def _spans(ms: Column, ps: Column) -> Column:
+    """Matches with their places, in code points; ps are the pieces of text between them."""
+    steps = F.transform(ms, lambda m, i: F.length(F.get(ps, i)) + F.length(m))
+    return let(prefix_sums(steps), lambda before: F.transform(ms, lambda m, i: F.struct(
+        (F.get(before, i) + F.length(F.get(ps, i))).alias("start"),
+        (F.get(before, i) + F.length(F.get(ps, i)) + F.length(m)).alias("end"),
+        m.alias("value"),
+    )))
 
-    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), found)
+
+def _found(text: Column, pattern: str, none: Column, body) -> Column:
+    """body(matches, pieces between them), or none without a match."""
+    some = lambda ms: F.when(F.size(ms) > 0, let(F.split(text, pattern), lambda ps: body(ms, ps))).otherwise(none)
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), some)
 
 
 def base_spans(text: Column, kind: str) -> Column:
-    """Matches of one kind that pass its test; failing ones are dropped and not retried."""
-    spans = F.filter(_spans(text, PATTERNS[kind], True), lambda s: _holds(kind, s["value"]))
+    """Matches of one kind that pass its test, with the words around them; failing ones are dropped
+    and not retried, and are part of the text around the others."""
     none = F.array().cast(_SPAN)
+    text = F.when(F.contains(text, F.lit(_KEPT)), F.translate(text, _KEPT, "\ufffe")).otherwise(text)
+
+    def kept(ms: Column, ps: Column) -> Column:
+        rest = F.transform(ms, lambda m, i: F.concat(F.get(ps, i), F.when(_holds(kind, m), F.lit(_KEPT)).otherwise(m)))
+        around = F.split(F.concat(F.array_join(rest, ""), F.get(ps, F.size(ms))), _KEPT)
+        spans = F.filter(_spans(ms, ps), lambda s: _holds(kind, s["value"]))
+        return let(around, lambda x: F.transform(spans, lambda s, i: F.struct(
+            s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"),
+            _side(F.get(x, i), True).alias("left"), _side(F.get(x, i + 1), False).alias("right"),
+        )))
+
+    def some(ms: Column, ps: Column) -> Column:
+        return F.when(F.exists(ms, lambda m: _holds(kind, m)), kept(ms, ps)).otherwise(none)
+
+    spans = _found(text, PATTERNS[kind], none, some)
     return F.when(F.contains(text, F.lit(NEEDS[kind])), spans).otherwise(none) if NEEDS[kind] else spans
 
 
@@ -190,14 +202,16 @@ def _terms_of(docs: DataFrame) -> DataFrame:
     return docs.select(_key(text).alias("key"), F.explode(own_words(text)).alias("term"))
 
 
-def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
+def term_spans(docs: DataFrame, terms: DataFrame, stages: Stages) -> DataFrame:
     """(key, terms): the places of disclosing terms, for the texts that have some."""
     text = F.coalesce(F.col("text"), F.lit(""))
     hits = _terms_of(docs)
     hits = hits.join(terms, "term").groupBy("key").agg(F.map_from_entries(F.collect_set(F.struct("term", "disclosure"))).alias("known"))
+    # a written side of known size; where it is broadcast, copies of a text are reduced before any shuffle
+    hits = stages.keep(hits, "hits")
     some = docs.select(_key(text).alias("t_key"), text.alias("t")).join(hits, F.col("t_key") == F.col("key")).dropDuplicates(["key"])
     rows = F.filter(
-        F.transform(_spans(F.col("t"), r"[^\x20\x09-\x0D]++", False), lambda s: F.struct(
+        F.transform(_found(F.col("t"), r"[^\x20\x09-\x0D]++", F.array().cast(_PLACES), _spans), lambda s: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), F.col("known")[bare(s["value"])].alias("disclosure"), s["value"].alias("value")
         )),
         lambda s: s["disclosure"].isNotNull(),
@@ -211,7 +225,7 @@ def find(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     found = stages.keep(find_base(docs), "found")
     terms = disclosing_terms(docs, found, stages)
-    at = stages.keep(term_spans(docs, terms), "at")
+    at = stages.keep(term_spans(docs, terms, stages), "at")
     out = found.drop("near").join(at, "key", "left")
     clear = lambda t: ~F.exists(_all(("email", "ip", "card", "phone")), lambda s: (s["start"] < t["end"]) & (s["end"] > t["start"]))
     none = F.array().cast("array<struct<start:bigint,end:bigint,disclosure:double,value:string>>")
@@ -238,16 +252,17 @@ def _told(kinds) -> Column:
 def sanitise(docs: DataFrame) -> DataFrame:
     """docs with base matches replaced by their kind in brackets, terms by their class or by nothing."""
     spans = find(docs).select("key", _all(KINDS).alias("spans")).where("size(spans) > 0").dropDuplicates(["key"])
-    text = F.coalesce(F.col("text"), F.lit(""))
-    joined = docs.withColumn("pii_key", _key(text)).join(spans.withColumnsRenamed({"key": "pii_k", "spans": "pii_spans"}), F.col("pii_key") == F.col("pii_k"), "left")
+    own = F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns)).alias("row")  # whatever their names
+    joined = docs.select(own, _key(F.coalesce(F.col("text"), F.lit(""))).alias("key")).join(spans, "key", "left")
+    text = F.coalesce(F.col("row.text"), F.lit(""))
     label = lambda s: F.when(s["k"] < 4, F.concat(F.lit("["), F.get(F.array(*map(F.lit, KINDS)), s["k"]), F.lit("]"))).when(
         s["disclosure"] >= REMOVE, F.lit("")).when(s["value"].rlike(r"^\P{L}*\p{Lu}"), F.lit("[name]")).otherwise(F.lit("[word]"))
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
     step = lambda a, s: F.when(s["start"] < a["at"], F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))).otherwise(
         F.struct(s["end"].alias("at"), F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), label(s)).alias("out")))
     end = lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text)))
-    new = F.when(F.col("pii_spans").isNull(), F.col("text")).otherwise(F.aggregate("pii_spans", start, step, end))
-    return joined.withColumn("text", new).drop("pii_key", "pii_k", "pii_spans")
+    new = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(F.aggregate("spans", start, step, end))
+    return joined.select(*(new.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def op1_query(docs: DataFrame) -> DataFrame:

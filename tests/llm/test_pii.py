@@ -46,27 +46,20 @@ def brute(docs):
         for w in {term(w) for w in split(t)}:
             n_t[w] += 1
         for kind, p in BASE.items():
-            ms = list(re.finditer(p, t))
+            ms = [m for m in re.finditer(p, t) if holds(kind, m[0])]
             for i, m in enumerate(ms):
-                if holds(kind, m[0]):
-                    left = t[ms[i - 1].end() if i else 0 : m.start()]
-                    right = t[m.end() : ms[i + 1].start() if i + 1 < len(ms) else None]
-                    a, b = split(left[-160:])[len(left) > 160 :][-8:], split(right[:160])
-                    b = (b[:-1] if len(right) > 160 else b)[:8]
-                    contexts[kind, m[0].lower()].add(tuple(a + b))
-    told, near = {}, defaultdict(int)
-    for found in contexts.values():
-        for ws in found:
-            for w in {term(w) for w in ws}:
-                near[w] += 1
+                left = t[ms[i - 1].end() if i else 0 : m.start()]
+                right = t[m.end() : ms[i + 1].start() if i + 1 < len(ms) else None]
+                contexts[kind, m[0].lower()].add((*split(left)[-8:], *split(right)[:8]))
+    told = {}
     for c, found in contexts.items():
         n_tc = defaultdict(int)
         for ws in found:
             for w in {term(w) for w in ws} - {""}:
                 n_tc[w] += 1
         for w, n in n_tc.items():
-            if n >= 3:
-                d = math.log2(len(texts) * n / (max(n_t[w], near[w]) * len(found))) / math.log2(len(texts) / len(found))
+            if n >= 3 and n_t[w]:
+                d = math.log2(len(texts) * n / (n_t[w] * len(found))) / math.log2(len(texts) / len(found))
                 if d >= 0.9:
                     told[w] = max(told.get(w, 0), d)
     out = []
@@ -107,6 +100,24 @@ def test_against_brute_force(spark):
     assert not any("zarkona" in x["text"].lower() or "zar.kona" in x["text"] for x in clean.values())
 
 
+def test_context_is_words_of_the_whole_text(spark):
+    """Neither long white space, long words nor matches that fail their test end a context."""
+    sides = [
+        ("zarkona" + " " * 400, ""), ("", "\n" * 500 + "zarkona"), ("zarkona " + "x" * 900 + " ", ""), ("zarkona in 2024 and 2025, ", ""),
+        ("", " from 10-20 to 30 40 zarkona"), ("", " x1,22,33,44,55,66,77,88,99,11,22,33 zarkona"), ("\uffff zarkona ", ""),
+    ]
+    docs = [(i, f"w{i}: {a}4111 1111 1111 1111{b} v{i}", "k", "e") for i, (a, b) in enumerate(sides)]
+    docs += [(100 + i, f"other words number {i}", "k", "e") for i in range(100)]
+    want, told = brute(docs)
+    assert "zarkona" in told
+    assert sorted(map(tuple, pii.op1_query(spark.createDataFrame(docs, SCHEMA)).collect()), key=str) == want
+
+
+def test_other_columns_keep_their_values(spark):
+    df = spark.createDataFrame([(1, "mail a@b.cc now", "k", -7, "s")], "doc_id long, text string, key string, pii_k int, spans string")
+    assert [tuple(r) for r in pii.sanitise(df).collect()] == [(1, "mail [email] now", "k", -7, "s")]
+
+
 def test_empty(spark):
     assert pii.op1_query(spark.createDataFrame([], SCHEMA)).collect() == []
 
@@ -122,12 +133,11 @@ def whole_terms(docs):
         for w in {own(w) for w in split(t)}:
             n_t[w] += 1
         for kind, p in BASE.items():
-            ms = list(re.finditer(p, t))
+            ms = [m for m in re.finditer(p, t) if holds(kind, m[0])]
             for i, m in enumerate(ms):
-                if holds(kind, m[0]):
-                    left = t[ms[i - 1].end() if i else 0 : m.start()]
-                    right = t[m.end() : ms[i + 1].start() if i + 1 < len(ms) else None]
-                    contexts[kind, m[0]].add((*split(left)[-8:], *split(right)[:8]))
+                left = t[ms[i - 1].end() if i else 0 : m.start()]
+                right = t[m.end() : ms[i + 1].start() if i + 1 < len(ms) else None]
+                contexts[kind, m[0]].add((*split(left)[-8:], *split(right)[:8]))
     for found in contexts.values():
         for w in {own(w) for ws in found for w in ws} - {""}:
             n = sum(w in map(own, ws) for ws in found)
