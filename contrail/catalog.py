@@ -1,7 +1,8 @@
 """Tables in a lake folder: where they are, how they are partitioned, what identifies a row.
 
 Writes that replace a table go to a new folder that then becomes the table's current one, so a
-reader sees the old or the new rows, and a failed write changes nothing.
+reader sees the old or the new rows, and a failed write changes nothing. The version before the
+current one is kept, for readers that began before the swap.
 """
 
 from __future__ import annotations
@@ -24,9 +25,11 @@ TABLES = {
     "bronze/schedules_one": Table(partition=("source",)),
     "bronze/schedules_two": Table(partition=("source",)),
     "bronze/weather": Table(partition=("source",)),
+    "bronze/states": Table(partition=("source",)),
+    "bronze/tracks": Table(partition=("source",)),
     "silver/flights": Table(("icao24", "first_seen", "callsign"), ("flight_date",)),
-    "silver/state_vectors": Table(partition=("snapshot_date",)),
-    "silver/track_waypoints": Table(partition=("track_date",)),
+    "silver/state_vectors": Table(("icao24", "snapshot_time"), ("snapshot_date",)),
+    "silver/track_waypoints": Table(("icao24", "start_time", "waypoint_time"), ("track_date",)),
     "silver/schedules": Table(("source", "callsign", "flight_date")),
     "silver/aircraft": Table(("icao24",)),
     "silver/weather": Table(("airport_code", "timestamp")),
@@ -78,9 +81,11 @@ class Lake:
         old = self._current(name)
         version = int(old.rsplit("/", 1)[1].split("-")[0]) + 1 if old else 0
         rows.write.format(self.fmt).partitionBy(*TABLES[name].partition).save(f"{self.root}/{name}/{version:08d}-{uuid.uuid4().hex[:8]}")
-        if old:
-            fs, p = self._fs(old)
-            fs.delete(p, True)
+        fs, p = self._fs(f"{self.root}/{name}")
+        for s in fs.listStatus(p):
+            number = s.getPath().getName().split("-")[0]
+            if number.isdigit() and int(number) < version - 1:
+                fs.delete(s.getPath(), True)
 
     def append(self, name: str, rows: DataFrame) -> None:
         at = self._current(name)

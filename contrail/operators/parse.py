@@ -77,15 +77,15 @@ def parse_tracks(bronze: DataFrame) -> DataFrame:
     )
 
 
-def parse_weather(bronze: DataFrame) -> DataFrame:
+def parse_weather(bronze: DataFrame, *keep: str) -> DataFrame:
     """(airport_code, response) -> a row an hour; arrays that are missing or too short give NULL."""
     h = F.from_json("response", schemas.HOURLY_JSON.replace("hourly struct", "struct<hourly:struct") + ">")
     names = ("time", *schemas.WEATHER_VARIABLES)
-    rows = bronze.select("airport_code", h["hourly"].alias("h")).select(
-        "airport_code", F.explode(F.arrays_zip(*(F.coalesce(F.col(f"h.{n}"), F.array()).alias(n) for n in names))).alias("r")
+    rows = bronze.select(*keep, "airport_code", h["hourly"].alias("h")).select(
+        *keep, "airport_code", F.explode(F.arrays_zip(*(F.coalesce(F.col(f"h.{n}"), F.array()).alias(n) for n in names))).alias("r")
     )
     return rows.where("r.time is not null").select(
-        "airport_code", F.col("r.time").alias("timestamp"), F.substring("r.time", 1, 10).alias("flight_date"), *(F.col(f"r.{v}").alias(v) for v in schemas.WEATHER_VARIABLES)
+        *keep, "airport_code", F.col("r.time").alias("timestamp"), F.substring("r.time", 1, 10).alias("flight_date"), *(F.col(f"r.{v}").alias(v) for v in schemas.WEATHER_VARIABLES)
     )
 
 
@@ -93,7 +93,7 @@ def _text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-def parse_schedule_one(bronze: DataFrame, source: str = "one") -> DataFrame:
+def parse_schedule_one(bronze: DataFrame, source: str = "one", keep: tuple[str, ...] = ()) -> DataFrame:
     """The first flight of ``data`` in vendor one's answer."""
     d = F.get(F.from_json("response", f"struct<{schemas.SCHEDULE_ONE_JSON.replace('data array', 'data:array')}>")["data"], F.lit(0))
     legs = [
@@ -103,15 +103,15 @@ def parse_schedule_one(bronze: DataFrame, source: str = "one") -> DataFrame:
             F.col(f"d.{leg}.terminal").alias(f"{leg}_terminal"), F.col(f"d.{leg}.gate").alias(f"{leg}_gate"),
         )
     ]
-    return bronze.select(d.alias("d")).where("d is not null").select(
-        F.lit(source).alias("source"), _text(F.col("d.flight.icao")).alias("callsign"), _text(F.col("d.flight_date")).alias("flight_date"),
+    return bronze.select(*keep, d.alias("d")).where("d is not null").select(
+        *keep, F.lit(source).alias("source"), _text(F.col("d.flight.icao")).alias("callsign"), _text(F.col("d.flight_date")).alias("flight_date"),
         _text(F.col("d.flight_status")).alias("flight_status"), *legs, _text(F.col("d.airline.name")).alias("airline_name"),
         _text(F.col("d.airline.icao")).alias("airline_icao"), F.lit(None).cast("string").alias("aircraft_type"),
         F.col("d.aircraft.registration").alias("aircraft_reg"),
     )
 
 
-def parse_schedule_two(bronze: DataFrame, source: str = "two") -> DataFrame:
+def parse_schedule_two(bronze: DataFrame, source: str = "two", keep: tuple[str, ...] = ()) -> DataFrame:
     """The first flight of vendor two's answer: an array, or an object with ``flights``.
 
     Terminals and gates are text or an object with ``local``; the actual time is the first
@@ -136,10 +136,10 @@ def parse_schedule_two(bronze: DataFrame, source: str = "two") -> DataFrame:
             either(f"{leg}.terminal").alias(f"{leg}_terminal"), either(f"{leg}.gate").alias(f"{leg}_gate"),
         )
     ]
-    flights = bronze.select(root.alias("f"), *(c for c in bronze.columns if c == "flight_date")).where("f is not null")
+    flights = bronze.select(*keep, root.alias("f"), *(c for c in bronze.columns if c == "flight_date")).where("f is not null")
     asked = F.col("flight_date") if "flight_date" in bronze.columns else F.lit("")
     return flights.select(
-        F.lit(source).alias("source"), F.coalesce(blank_to_null(at("callSign")), at("number"), F.lit("")).alias("callsign"),
+        *keep, F.lit(source).alias("source"), F.coalesce(blank_to_null(at("callSign")), at("number"), F.lit("")).alias("callsign"),
         F.coalesce(at("date"), asked).alias("flight_date"), _text(at("status")).alias("flight_status"), *legs,
         _text(at("airline.name")).alias("airline_name"), _text(at("airline.icao")).alias("airline_icao"),
         F.coalesce(blank_to_null(at("aircraft.model")), at("aircraft.type"), F.lit("")).alias("aircraft_type"), _text(at("aircraft.reg")).alias("aircraft_reg"),

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import TABLES, Lake
+from ..functions import iso_time, real_date
 from ..operators.match import without
-from ..operators.parse import parse_flights
+from ..operators.parse import parse_flights, parse_schedule_one, parse_schedule_two, parse_states, parse_tracks, parse_weather
 from ..operators.traffic import daily_traffic, hourly_distribution, route_density
 from ..operators.upsert import first_by, gold_aircraft, gold_weather, insert_new
+from ..sources.files import read_aircraft
 from .feature_store import Tables, feature_store
 
 _EMPTY = "airport_code string, flight_date date, endpoint string"
@@ -39,6 +41,52 @@ def bronze_to_silver(lake: Lake) -> int:
     return lake.read("silver/flights").count() - before
 
 
+def schedules_to_silver(lake: Lake) -> None:
+    """Both vendors' answers as typed schedules; of a vendor's flight and day the answer fetched last.
+
+    An answer that has no day of its own takes ``flight_date`` of its request's params.
+    """
+    rows = None
+    for k, (vendor, parse) in enumerate((("one", parse_schedule_one), ("two", parse_schedule_two))):
+        if lake.exists(f"bronze/schedules_{vendor}"):
+            asked = lake.read(f"bronze/schedules_{vendor}").withColumn("flight_date", F.get_json_object("params", "$.flight_date"))
+            some = parse(asked.drop("source"), vendor, ("fetched_at",)).withColumn("seq", F.unix_micros("fetched_at") * 2 + k)
+            rows = some if rows is None else rows.unionByName(some)
+    if rows is not None:
+        times = [f"{leg}_{kind}" for leg in ("departure", "arrival") for kind in ("scheduled", "actual", "estimated")]
+        rows = rows.withColumns({"flight_date": real_date(F.col("flight_date")), **{c: iso_time(F.col(c)) for c in times}})
+        rows = rows.where("callsign <> '' and flight_date is not null")
+        lake.replace("silver/schedules", first_by(rows, list(TABLES["silver/schedules"].key), F.desc("seq"), "arrival_scheduled", "departure_scheduled"))
+
+
+def weather_to_silver(lake: Lake) -> None:
+    """Hours of all answers whose params name an airport; of an airport's hour the one fetched last."""
+    if lake.exists("bronze/weather"):
+        asked = lake.read("bronze/weather").withColumn("airport_code", F.get_json_object("params", "$.airport")).where("airport_code is not null")
+        at = iso_time(F.col("timestamp"))
+        rows = parse_weather(asked, "fetched_at").withColumns({
+            "flight_date": real_date(F.col("flight_date")), "ingested_at": F.col("fetched_at"),
+            "seq": F.unix_micros("fetched_at") + F.coalesce(F.hour(at) * 60 + F.minute(at), F.lit(1440)),  # an answer's hours in their order
+        }).drop("fetched_at")
+        lake.replace("silver/weather", first_by(rows, list(TABLES["silver/weather"].key), F.desc("seq")))
+
+
+def aircraft_to_silver(lake: Lake, path: str) -> None:
+    """The aircraft CSV, one row an icao24."""
+    rows = read_aircraft(lake.spark, path)
+    lake.replace("silver/aircraft", first_by(rows, ["icao24"], *(F.desc(c) for c in rows.columns if c != "icao24")))
+
+
+def positions_to_silver(lake: Lake) -> None:
+    """State vectors and waypoints of all answers, each once."""
+    if lake.exists("bronze/states"):
+        rows = parse_states(lake.read("bronze/states")).withColumn("snapshot_date", F.to_date("snapshot_time"))
+        lake.replace("silver/state_vectors", first_by(rows, list(TABLES["silver/state_vectors"].key), F.desc("last_contact"), "longitude", "latitude"))
+    if lake.exists("bronze/tracks"):
+        rows = parse_tracks(lake.read("bronze/tracks"))
+        lake.replace("silver/track_waypoints", first_by(rows, list(TABLES["silver/track_waypoints"].key), "end_time", "latitude", "longitude"))
+
+
 def silver_to_gold(lake: Lake) -> None:
     """Aggregates anew from silver, so that it may run any number of times."""
     flights = lake.read("silver/flights")
@@ -84,7 +132,9 @@ def remember_empty(lake: Lake, calls: DataFrame) -> None:
     lake.append("system/empty_airports", calls.select("airport_code", "flight_date", "endpoint").withColumn("cached_at", F.current_timestamp()))
 
 
-STEPS = {"silver": bronze_to_silver, "gold": silver_to_gold, "entities": entities_to_gold, "features": build_features}
+STEPS = {
+    "silver": bronze_to_silver, "schedules": schedules_to_silver, "weather": weather_to_silver, "positions": positions_to_silver, "gold": silver_to_gold, "entities": entities_to_gold, "features": build_features,
+}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -93,6 +143,7 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="Runs the jobs of a lake in order.")
     parser.add_argument("root")
     parser.add_argument("--skip", nargs="*", choices=STEPS, default=[])
+    parser.add_argument("--aircraft", help="the aircraft CSV, to be imported first")
     parser.add_argument("--dry-run", action="store_true", help="only say how many rows each table has")
     args = parser.parse_args(argv)
     lake = Lake(session(), args.root)
@@ -100,6 +151,8 @@ def main(argv: list[str] | None = None) -> int:
         for name in TABLES:
             print(name, lake.read(name).count() if lake.exists(name) else 0)
         return 0
+    if args.aircraft:
+        aircraft_to_silver(lake, args.aircraft)
     for name, step in STEPS.items():
         if name not in args.skip:
             step(lake)

@@ -43,6 +43,41 @@ def test_lake_from_files_to_features(spark, tmp_path):
     assert {r["endpoint"] for r in jobs.pending_calls(lake, airports, bronze.selectExpr("ingestion_date as flight_date").distinct()).collect()} == {"departure"}
 
 
+def test_feeds_of_all_kinds_reach_the_features(spark, tmp_path):
+    from contrail.sources.vendors import envelopes
+
+    write_files(tmp_path / "raw", {"2026-06-12": 1781222400})
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.append("bronze/flights", read_responses(spark, str(tmp_path / "raw")))
+    one = {"data": [{"flight": {"icao": "IB0"}, "flight_date": "2026-06-12", "arrival": {"icao": "LEMD", "scheduled": "2026-06-12T00:50:00+00:00"}, "departure": {"icao": "LEAL"}}]}
+    two = {"flights": [{"callSign": "IB1", "arrival": {"airport": {"icao": "LEMD"}, "scheduledTime": {"local": "2026-06-12 00:55"}}, "departure": {"airport": {"icao": "LEAL"}}}]}
+    lake.append("bronze/schedules_one", envelopes(spark, [("one", "flights", {}, one), ("one", "flights", {}, {"data": []})]))
+    lake.append("bronze/schedules_two", envelopes(spark, [("two", "flights", {"flight_date": "2026-06-12"}, two)]))
+    hourly = {"time": [f"2026-06-12T{h:02}:00" for h in range(24)], "temperature_2m": [float(h) for h in range(24)]}
+    lake.append("bronze/weather", envelopes(spark, [("w", "archive", {"airport": a}, {"hourly": hourly}) for a in ("LEAL", "LEMD", "LEBL")]))
+    lake.append("bronze/states", envelopes(spark, [("s", "states", {}, {"time": 1781222400, "states": [["a1", "IB1 ", "Spain", 1781222400, 1781222400, -3.0, 40.0] + [None] * 10]})] * 2))
+    lake.append("bronze/tracks", envelopes(spark, [("s", "tracks", {}, {"icao24": "a1", "startTime": 1781222400, "endTime": 1781222500, "path": [[1781222400, 40.0, -3.0, 100.0, 90.0, False]]})] * 2))
+    (tmp_path / "a.csv").write_text("icao24,manufacturername,typecode,operator,firstflightdate\nA0,M,T0,O,2016-06-12\nA1,M,T1,O,\n")
+    assert jobs.main([lake.root, "--aircraft", str(tmp_path / "a.csv")]) == 0
+    rows = {r["icao24"]: r for r in lake.read("gold/feature_store").collect()}
+    assert len(rows) == 5 and (rows["a0"]["delay_minutes"], rows["a0"]["schedule_source"]) == (10.0, "one")
+    assert (rows["a1"]["delay_minutes"], rows["a1"]["schedule_source"]) == (15.0, "two")
+    assert rows["a0"]["aircraft_type"] == "T0" and rows["a0"]["aircraft_age_years"] == 10.0
+    assert all(r["dep_temperature"] == r["departure_hour"] for r in rows.values())
+    assert lake.read("silver/state_vectors").count() == lake.read("silver/track_waypoints").count() == 1
+    assert lake.read("gold/weather").count() == 72
+
+
+def test_a_reader_outlives_one_replacement(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    name = "gold/route_density"
+    for n in range(4):
+        lake.replace(name, spark.range(n).withColumnRenamed("id", "flight_count"))
+        before, held = lake.read(name) if n == 2 else None, before if n == 3 else None
+    assert held.count() == 2 and lake.read(name).count() == 3
+    assert len(list((tmp_path / name).iterdir())) == 2
+
+
 def test_aircraft_csv(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("'icao24','ManufacturerName','typecode'\n'ABC','A \"é\" B',\"'X'\"\n'','none',''\n".encode("latin-1"))
     rows = read_aircraft(spark, str(tmp_path / "a.csv")).collect()
