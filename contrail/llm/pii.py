@@ -210,6 +210,7 @@ def term_spans(docs: DataFrame, terms: DataFrame, stages: Stages) -> DataFrame:
     # a written side of known size; where it is broadcast, copies of a text are reduced before any shuffle
     hits = stages.keep(hits, "hits")
     some = docs.select(_key(text).alias("t_key"), text.alias("t")).join(hits, F.col("t_key") == F.col("key")).dropDuplicates(["key"])
+    some = some.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few bytes, but much to do with each
     rows = F.filter(
         F.transform(_found(F.col("t"), r"[^\x20\x09-\x0D]++", F.array().cast(_PLACES), _spans), lambda s: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), F.col("known")[bare(s["value"])].alias("disclosure"), s["value"].alias("value")
