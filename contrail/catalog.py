@@ -42,6 +42,11 @@ TABLES = {
     "gold/feature_store": Table(("icao24", "flight_date")),
     "system/checkpoints": Table(("job", "item")),
     "system/empty_airports": Table(("airport_code", "flight_date", "endpoint")),
+    "system/gold_days": Table(("flight_date",)),
+    "system/answers": Table(),
+    "system/schedule_answers": Table(),
+    "system/weather_answers": Table(),
+    "gold/route_days": Table(("departure_airport", "arrival_airport", "flight_date")),
 }
 
 
@@ -111,5 +116,27 @@ class Lake:
         stored = self.read("system/checkpoints", "job string, item string")
         self.replace("system/checkpoints", stored.unionByName(new).distinct())
 
+    def unmark(self, job: str, items: DataFrame) -> None:
+        """Takes items out of a job's set, so that they are pending again."""
+        gone = items.select(F.lit(job).alias("job"), F.col("item").cast("string").alias("item"))
+        self.replace("system/checkpoints", self.read("system/checkpoints", "job string, item string").join(gone, ["job", "item"], "left_anti"))
+
+    def partitions(self, name: str) -> list[str]:
+        """The values of a table's partition column, from the names of its folders; no file is read."""
+        at = self._current(name)
+        if at is None or not TABLES[name].partition:
+            return []
+        fs, p = self._fs(at)
+        start = f"{TABLES[name].partition[0]}="
+        names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+        return sorted(n.removeprefix(start) for n in names if n.startswith(start))
+
+    def register(self) -> list[str]:
+        """A temporary view layer_table for each table that was written, for SQL. Returns their names."""
+        found = [n for n in TABLES if self.exists(n)]
+        for n in found:
+            self.read(n).createOrReplaceTempView(n.replace("/", "_"))
+        return [n.replace("/", "_") for n in found]
+
     def done(self, job: str) -> DataFrame:
         return self.read("system/checkpoints", "job string, item string").where(F.col("job") == job).select("item")

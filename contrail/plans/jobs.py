@@ -11,7 +11,7 @@ from ..catalog import TABLES, Lake
 from ..functions import iso_time, real_date
 from ..operators.match import without
 from ..operators.parse import parse_flights, parse_schedule_one, parse_schedule_two, parse_states, parse_tracks, parse_weather
-from ..operators.traffic import daily_traffic, hourly_distribution, route_density
+from ..operators.traffic import daily_traffic, hourly_distribution
 from ..operators.upsert import first_by, gold_aircraft, gold_weather, insert_new
 from ..sources.files import read_aircraft
 from .feature_store import Tables, feature_store
@@ -87,15 +87,45 @@ def positions_to_silver(lake: Lake) -> None:
         lake.replace("silver/track_waypoints", first_by(rows, list(TABLES["silver/track_waypoints"].key), "end_time", "latitude", "longitude"))
 
 
-def silver_to_gold(lake: Lake) -> None:
-    """Aggregates anew from silver, so that it may run any number of times."""
-    flights = lake.read("silver/flights")
-    lake.replace("gold/daily_airport_traffic", daily_traffic(flights))
-    lake.replace("gold/hourly_distribution", hourly_distribution(flights))
-    lake.replace("gold/route_density", route_density(flights))
+def changed_days(lake: Lake) -> DataFrame:
+    """(flight_date, n) of the days whose number of flights in silver isn't the one that gold was made from.
+
+    Silver only grows, so a day with as many flights as before has the same flights. The count
+    reads no column of the files, as the day is in the folders' names.
+    """
+    now = lake.read("silver/flights").groupBy("flight_date").agg(F.count(F.lit(1)).alias("n"))
+    seen = lake.read("system/gold_days", "flight_date date, n long").select(F.col("flight_date").alias("d"), F.col("n").alias("seen"))
+    return now.join(seen, F.col("flight_date").eqNullSafe(F.col("d")), "left").where("seen is null or seen <> n").select("flight_date", "n")
+
+
+def silver_to_gold(lake: Lake) -> int:
+    """Aggregates of the days that changed, so that it may run any number of times. Returns how many days did.
+
+    Only the changed partitions of silver are read. Aggregates are small next to flights: the rows of
+    other days are kept, and a route's totals are sums of its days.
+    """
+    changed = [(r["flight_date"], r["n"]) for r in changed_days(lake).collect()]  # days, not rows
+    if not changed:
+        return 0
+    days = [d for d, _ in changed if d is not None]
+    one_of = lambda: F.coalesce(F.col("flight_date").isin(days), F.lit(False)) | (F.col("flight_date").isNull() if len(days) < len(changed) else F.lit(False))
+    flights = lake.read("silver/flights").where(one_of())
+    known = flights.where("est_departure_airport <> '' and est_arrival_airport <> ''")
+    routes = known.groupBy(F.col("est_departure_airport").alias("departure_airport"), F.col("est_arrival_airport").alias("arrival_airport"), F.to_date("first_seen").alias("flight_date"))
+    parts = {
+        "gold/daily_airport_traffic": daily_traffic(flights), "gold/hourly_distribution": hourly_distribution(flights),
+        "gold/route_days": routes.agg(F.count(F.lit(1)).alias("flight_count")),
+    }
+    for name, rows in parts.items():
+        lake.replace(name, lake.read(name).where(~one_of()).unionByName(rows) if lake.exists(name) else rows)
+    totals = lake.read("gold/route_days").groupBy("departure_airport", "arrival_airport")
+    lake.replace("gold/route_density", totals.agg(F.sum("flight_count").alias("flight_count"), F.min("flight_date").alias("first_seen"), F.max("flight_date").alias("last_seen")))
     key = list(TABLES["gold/flights"].key)
-    rows = flights.where("flight_date is not null")
-    lake.replace("gold/flights", insert_new(lake.read("gold/flights") if lake.exists("gold/flights") else rows.limit(0), rows, key, "callsign", "last_seen"))
+    fresh = first_by(flights.where("flight_date is not null and icao24 is not null and first_seen is not null"), key, "callsign", "last_seen")
+    lake.append("gold/flights", fresh.join(lake.read("gold/flights").select(*key), key, "left_anti") if lake.exists("gold/flights") else fresh)
+    made = lake.spark.createDataFrame(changed, "flight_date date, n long")
+    lake.replace("system/gold_days", lake.read("system/gold_days", "flight_date date, n long").where(~one_of()).unionByName(made))
+    return len(changed)
 
 
 def entities_to_gold(lake: Lake) -> None:

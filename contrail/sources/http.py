@@ -195,6 +195,12 @@ def fetch(client: Client | Pool, endpoint: str, **what: Any) -> Any:
         raise
 
 
+def clients(base: str, tokens: list[str], send: Callable = urllib_send, sleep: Callable = time.sleep) -> Client | Pool:
+    """A client, or a pool of clients with a token each that moves on when one has no requests left."""
+    made = [Client(base, Token(lambda t=t: {"access_token": t, "expires_in": 1e9}), send, sleep) for t in tokens]
+    return Pool(made) if len(made) > 1 else made[0] if made else Client(base, None, send, sleep)
+
+
 def can_extract(client: Client, calls: int, cost: int = 4) -> bool:
     """Whether the credit left, learnt by a cheap call, covers so many calls; unknown credit counts as enough."""
     client.get(PATHS["states"], {"lamin": "0", "lamax": "0.1", "lomin": "0", "lomax": "0.1"})
@@ -219,9 +225,12 @@ class Call(InputPartition):
 class FlightFeed(DataSource):
     """``spark.read.format("flight_feed")``: one task for each airport, day and endpoint.
 
-    Options: base, airports and days (comma-separated), endpoints (arrival,departure), token.
-    Rows are bronze envelopes. The server's limits bound the number of tasks that should run at
-    once, which is the number of partitions after a coalesce.
+    Options: base, airports and days (comma-separated), endpoints (arrival,departure), or calls
+    (endpoint:airport:day, comma-separated) instead of these three; tokens (comma-separated, a task
+    moves on to the next when one has no requests left). Rows are bronze envelopes. With answers=all
+    an empty answer has a row too, and a failed call one without a response, instead of an error.
+    The server's limits bound the number of tasks that should run at once, which is the number of
+    partitions after a coalesce.
     """
 
     transport: Callable = staticmethod(urllib_send)
@@ -243,14 +252,23 @@ class FlightFeedReader(DataSourceReader):
 
     def partitions(self) -> list[Call]:
         split = lambda k, d="": [x for x in self.options.get(k, d).split(",") if x]
+        if "calls" in self.options:
+            return [Call(*c.split(":")) for c in split("calls")]
         return [Call(e, a, d) for d in split("days") for a in split("airports") for e in split("endpoints", "arrival,departure")]
 
     def read(self, partition: Call) -> Iterator[tuple]:
         begin = datetime.fromisoformat(partition.day).replace(tzinfo=timezone.utc)
-        token = self.options.get("token")
-        client = Client(self.options["base"], Token(lambda: {"access_token": token, "expires_in": 1e9}) if token else None, self.send)
+        tokens = [t for t in self.options.get("tokens", self.options.get("token", "")).split(",") if t]
+        every = self.options.get("answers") == "all"
         what = {"begin": begin, "end": begin + timedelta(seconds=86399), "airport": partition.airport}
-        answer = fetch(client, partition.endpoint, **what)
-        if answer:  # an empty answer leaves no row
+        try:
+            answer = fetch(clients(self.options["base"], tokens, self.send), partition.endpoint, **what)
+        except (HttpError, Exhausted):
+            if not every:
+                raise
+            body = None
+        else:
+            body = json.dumps(answer, ensure_ascii=False)
+        if every or answer:  # else an empty answer leaves no row
             _, params = request(partition.endpoint, **what)
-            yield partition.endpoint, json.dumps(params), datetime.now(timezone.utc), json.dumps(answer, ensure_ascii=False), begin.date()
+            yield partition.endpoint, json.dumps(params), datetime.now(timezone.utc), body, begin.date()
