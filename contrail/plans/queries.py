@@ -15,6 +15,7 @@ from ..sources.files import endpoint
 from ..streaming.jobs import hourly_windows, run_daily_traffic
 from . import adapters as A
 from .feature_store import Tables, feature_store, recent
+from .ingest import documents_to_flights, flight_documents
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -316,6 +317,21 @@ def j12_coordinates(spark, sf):
     return f.join(known, "icao").select("event_id", "icao", F.col("latitude").cast("decimal(6,4)").alias("latitude"))
 
 
+@query("SELECT event_id, 'LEMD' AS icao FROM flights WHERE est_departure_airport = 'AP1' UNION ALL SELECT event_id, 'LEBL' FROM flights WHERE est_departure_airport = 'AP2'")
+def f10_country(spark, sf):
+    code = F.when(F.col("est_departure_airport") == "AP1", "LEMD").when(F.col("est_departure_airport") == "AP2", "LEBL").when(F.col("est_departure_airport") == "AP3", "LPPT")
+    home = airports(spark).where("country = 'España'").select("icao")
+    return A.flights(spark, sf).select("event_id", code.alias("icao")).join(home, "icao").select("event_id", "icao")
+
+
+@query("""SELECT event_id, first_seen, last_seen, flight_date FROM flights WHERE event_id % 5 <> 0""")
+def p10_p11_documents(spark, sf):
+    """Flights to documents and back; those without an end of time are dropped."""
+    f = A.flights(spark, sf).withColumn("last_seen", F.when(F.col("event_id") % 5 != 0, F.col("last_seen")))
+    out = documents_to_flights(flight_documents(f.withColumn("flight_date", F.lit(None).cast("date"))))
+    return _naive(out.select("event_id", "first_seen", "last_seen", "flight_date"), "first_seen", "last_seen")
+
+
 @query("""SELECT callsign, flight_date, source, seq FROM schedules WHERE source = 'v0' UNION ALL
  SELECT callsign, flight_date, source, seq FROM schedules s WHERE source = 'v1' AND NOT EXISTS (SELECT 1 FROM schedules o WHERE o.source = 'v0' AND o.callsign = s.callsign AND o.flight_date = s.flight_date)""")
 def j13_vendor_fallback(spark, sf):
@@ -412,10 +428,18 @@ def l3_stratified_sample(spark, sf):
     return sampling.stratified(A.flights(spark, sf), "event_id").select("event_id", "stratum")
 
 
-@query("SELECT airport_code, least(count(*), 50) AS n FROM ends WHERE dep = 1 GROUP BY 1")
+@query("SELECT airport_code, least(count(*), 50) AS n, least(count(*), 50) AS n_known FROM ends WHERE dep = 1 GROUP BY 1")
 def l4_sample_per_airport(spark, sf):
-    some = sampling.at_most(A.flights(spark, sf), ["est_departure_airport"], 50, 7, "event_id")
-    return some.groupBy(F.col("est_departure_airport").alias("airport_code")).agg(F.count(F.lit(1)).alias("n"))
+    """n rows, of which n_known are different flights from that airport."""
+    f = A.flights(spark, sf)
+    some = sampling.at_most(f, ["est_departure_airport"], 50, 7, "event_id").select(F.col("est_departure_airport").alias("airport_code"), "event_id")
+    known = some.join(f.select(F.col("event_id").alias("id"), F.col("est_departure_airport").alias("at")), (F.col("event_id") == F.col("id")) & (F.col("airport_code") == F.col("at")), "left")
+    return known.groupBy("airport_code").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("n_known"))
+
+
+@query("SELECT event_id FROM flights ORDER BY event_id LIMIT 25")
+def l6_head(spark, sf):
+    return A.flights(spark, sf).select("event_id").orderBy("event_id").limit(25)
 
 
 # --- sets --------------------------------------------------------------------------------
