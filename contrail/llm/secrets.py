@@ -81,10 +81,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def random_spans(text: str, base: list[tuple[int, int, int]], path: str = VOCABULARY, max_ratio: float = MAX_RATIO) -> list[tuple[int, int, int]]:
-    out = []
+    """The spans of the method that overlap none of base, which is sorted by start."""
+    out, at, reach = [], 0, 0
     for m in _LONG.finditer(text):
+        while at < len(base) and base[at][0] < m.end():  # both in order, so each base span is looked at once
+            reach = max(reach, base[at][2])
+            at += 1
         s = m[0]
-        if known(s) or any(a < m.end() and b > m.start() for a, _, b in base):
+        if reach > m.start() or known(s):
             continue
         if ratio(s, path) <= max_ratio and not named(s, path, max_ratio):
             out.append((m.start(), 3, m.end()))
