@@ -13,10 +13,17 @@ def first_by(rows: DataFrame, key: list[str], *order: Column | str) -> DataFrame
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_n = 1").drop("_n")
 
 
-def latest_wins(stored: DataFrame, new: DataFrame, key: list[str], seq: str = "seq") -> DataFrame:
-    """The last new row of each key, and the stored rows of other keys."""
-    last = first_by(new, key, F.desc(seq)).select(stored.columns)
-    return last.unionByName(stored.join(last.select(*key), key, "left_anti"))
+def latest_wins(stored: DataFrame, new: DataFrame, key: list[str], seq: str = "seq", *ties: Column | str) -> DataFrame:
+    """The last new row of each key, of equal seq the first by ties, and the stored rows of other keys.
+
+    A NULL is a key like any other.
+    """
+    last = first_by(new, key, F.desc(seq), *ties).select(stored.columns)
+    keys = last.select(*(F.col(c).alias(f"_{c}") for c in key))
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return last.unionByName(stored.join(keys, same, "left_anti"))
 
 
 def insert_new(stored: DataFrame, new: DataFrame, key: list[str], *order: Column | str) -> DataFrame:

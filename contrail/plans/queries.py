@@ -559,9 +559,10 @@ def c24_holidays(spark, sf):
 
 @query("SELECT l_orderkey, arg_max(l_quantity, l_linenumber) AS q FROM lineitem GROUP BY 1")
 def k9_latest_wins(spark, sf):
-    rows = A.table(spark, sf, "lineitem").select("l_orderkey", F.col("l_quantity").alias("q"), F.col("l_linenumber").alias("seq"))
-    first = rows.where("seq = 1").select("l_orderkey", "q")
-    return upsert.latest_wins(first, rows, ["l_orderkey"])
+    # arg_max skips NULLs and takes the first row in the table where line numbers are equal; a key without values stays, with NULL
+    rows = A.table(spark, sf, "lineitem").select("l_orderkey", F.col("l_quantity").alias("q"), F.col("l_linenumber").alias("seq"), "_metadata.file_path", "_metadata.row_index")
+    keys = rows.select("l_orderkey").distinct().withColumn("q", F.lit(None).cast(rows.schema["q"].dataType))
+    return upsert.latest_wins(keys, rows.where("q is not null and seq is not null"), ["l_orderkey"], "seq", "file_path", "row_index")
 
 
 @query("SELECT * FROM daily")
