@@ -117,6 +117,57 @@ def test_crowded_keys_lose_no_link(spark, monkeypatch):
     assert all(len(g) == 1 for g in groups.values()) and len(set.union(*groups.values())) == len(groups)
 
 
+def test_wide_limit_loses_no_link(spark, monkeypatch):
+    """Pairs at just 22 of 128 bits, crowded bits among them, in one cell and in many."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 1 << 64, (1000, 2), dtype=np.uint64)
+    x[500:] &= rng.integers(0, 1 << 64, (500, 2), dtype=np.uint64) & rng.integers(0, 1 << 64, (500, 2), dtype=np.uint64)
+    y = x.copy()
+    for i in range(len(y)):
+        for b in rng.choice(128, 22 + i % 2, replace=False).tolist():
+            y[i, b // 64] ^= np.uint64(1 << b % 64)
+    fps = np.unique(np.concatenate((x, y)), axis=0)
+    node = S._node(fps).tolist()
+    near = np.bitwise_count(fps[:, None, 0] ^ fps[None, :, 0]).astype(int) + np.bitwise_count(fps[:, None, 1] ^ fps[None, :, 1]) <= 22
+    links = [(node[a], node[b]) for a, b in zip(*np.nonzero(np.triu(near, 1)))]
+
+    def groups(pairs):
+        root = {v: v for v in node}
+
+        def find(v):
+            while root[v] != v:
+                v = root[v]
+            return v
+
+        for u, v in pairs:
+            u, v = find(u), find(v)
+            root[max(u, v)] = min(u, v)
+        return {v: find(v) for v in node}
+
+    df = spark.createDataFrame(fps.view(np.int64).tolist(), "f0 long, f1 long").repartition(3)
+    for chunk in (1 << 19, 300):
+        monkeypatch.setattr(S, "CHUNK", chunk, raising=False)
+        got = [tuple(r) for r in S.fingerprint_links(df, Stages(spark), S.SIMILAR).collect()]
+        assert set(map(frozenset, got)) <= set(map(frozenset, links)) and groups(got) == groups(links)
+
+
+def test_cells_against_all_pairs(monkeypatch):
+    monkeypatch.setattr(S, "LOOK", 50)
+    rng = np.random.default_rng(4)
+    fps = np.unique(rng.integers(0, 1 << 64, (500, 2), dtype=np.uint64) & rng.integers(0, 1 << 64, (500, 2), dtype=np.uint64) & np.uint64(0x0F0F0F0F0F0F0F0F), axis=0)
+    n, half = len(fps), len(fps) // 2
+    near = (np.bitwise_count(fps[:, None, 0] ^ fps[None, :, 0]).astype(int) + np.bitwise_count(fps[:, None, 1] ^ fps[None, :, 1])) <= 22
+    within = S.met(fps, None, S.SIMILAR)
+    across = S.met(fps[:half], fps[half:], S.SIMILAR) + S.met(fps[:half], None, S.SIMILAR) + [(a + half, b + half) for a, b in S.met(fps[half:], None, S.SIMILAR)]
+    for found in (within, across):
+        assert all(near[a, b] for a, b in found)
+        root = np.arange(n)
+        for a, b in found:
+            root[root == root[a]] = root[b]
+        assert (root[:, None] == root[None, :])[near].all()
+    assert len(within) == n - len(set(root.tolist()))
+
+
 def jaccard(x, y):
     a, b = ({tuple(ws[i : i + 5]) for i in range(len(ws) - 4)} for ws in (x.split(), y.split()))
     return len(a & b) / len(a | b)
